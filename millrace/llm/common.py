@@ -54,14 +54,14 @@ def text_buffers(column: pa.Array | pa.ChunkedArray) -> tuple[np.ndarray, np.nda
     return raw[offs[0] : offs[-1]], offs - offs[0]
 
 
-def slices(batches: Iterator[pa.RecordBatch], limit: int = SLICE_BYTES, text: str = "text") -> Iterator[tuple[pa.RecordBatch, np.ndarray, np.ndarray]]:
-    """Parts of the batches with at most `limit` bytes of text each, or one longer row: (rows, bytes, offsets)."""
+def slices(batches: Iterator[pa.RecordBatch], limit: int = SLICE_BYTES, text: str = "text", most: int = 1 << 30) -> Iterator[tuple[pa.RecordBatch, np.ndarray, np.ndarray]]:
+    """Parts of the batches with at most `limit` bytes of text and `most` rows each, or one longer row: (rows, bytes, offsets)."""
     for batch in batches:
         raw, offs = text_buffers(batch.column(batch.schema.get_field_index(text)))
         lo, n = 0, batch.num_rows
         while lo < n:
             hi = int(np.searchsorted(offs, offs[lo] + limit, side="right")) - 1
-            hi = min(n, max(hi, lo + 1))
+            hi = min(n, max(hi, lo + 1), lo + most)
             yield batch.slice(lo, hi - lo), raw[offs[lo] : offs[hi]], offs[lo : hi + 1] - offs[lo]
             lo = hi
 

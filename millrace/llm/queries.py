@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import merkle, nbsvm, ownership, packing, pii, simple8b, winnowing
+from millrace.llm import merkle, nbsvm, ownership, packing, parity_join, pii, simple8b, winnowing
 
 
 def vocabulary() -> str:
@@ -41,6 +41,10 @@ def op5_winnowing_decontamination(spark: SparkSession, d: str) -> DataFrame:
     return found.select("doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated")
 
 
+def op7_parity_jaccard_join(spark: SparkSession, d: str) -> DataFrame:
+    return parity_join.similar(_table(spark, d, "documents").select("doc_id", "text"), k=5, num=80, den=100)
+
+
 def op8_residual_packing(spark: SparkSession, d: str) -> DataFrame:
     return packing.pack(_table(spark, d, "documents"), vocabulary(), end_id=0, capacity=2048)
 
@@ -60,7 +64,7 @@ def op10_quality_nbsvm(spark: SparkSession, d: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_ownership_secrets, op3_merkle_fingerprints, op4_pii, op5_winnowing_decontamination, op8_residual_packing, op9_simple8b_output, op10_quality_nbsvm)}
+    return {f.__name__: f for f in (op1_ownership_secrets, op3_merkle_fingerprints, op4_pii, op5_winnowing_decontamination, op7_parity_jaccard_join, op8_residual_packing, op9_simple8b_output, op10_quality_nbsvm)}
 
 
 def oracle_sql() -> dict[str, str]:
