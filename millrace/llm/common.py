@@ -36,7 +36,7 @@ def materialise(df: DataFrame, where: str, name: str, partition_by: list[str] |
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     writer.parquet(f"{where}/{name}")
-    return df.sparkSession.read.schema(df.schema).parquet(f"{where}/{name}") if not partition_by else df.sparkSession.read.parquet(f"{where}/{name}")
+    return df.sparkSession.read.schema(df.schema).parquet(f"{where}/{name}")
 
 
 def text_buffers(column: pa.Array | pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray]:

@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import merkle, nbsvm, ownership, packing, parity_join, pii, simple8b, winnowing
+from millrace.llm import merkle, nbsvm, ownership, packing, parity_join, pii, simple8b, sparse_suffix, suffix_tree, winnowing
 
 
 def vocabulary() -> str:
@@ -28,6 +28,10 @@ def op1_ownership_secrets(spark: SparkSession, d: str) -> DataFrame:
     return ownership.scan(_table(spark, d, "documents"), owner="source", repo="lang")
 
 
+def op2_suffix_tree_scores(spark: SparkSession, d: str) -> DataFrame:
+    return suffix_tree.score(_table(spark, d, "documents").select("doc_id", "text"), mod=7, rest=2)
+
+
 def op3_merkle_fingerprints(spark: SparkSession, d: str) -> DataFrame:
     return merkle.compare(_table(spark, d, "documents"))
 
@@ -41,6 +45,10 @@ def op5_winnowing_decontamination(spark: SparkSession, d: str) -> DataFrame:
     return found.select("doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated")
 
 
+def op6_sparse_suffix_repeats(spark: SparkSession, d: str) -> DataFrame:
+    return sparse_suffix.repeats(_table(spark, d, "documents").select("doc_id", "text"), span=50)
+
+
 def op7_parity_jaccard_join(spark: SparkSession, d: str) -> DataFrame:
     return parity_join.similar(_table(spark, d, "documents").select("doc_id", "text"), k=5, num=80, den=100)
 
@@ -64,7 +72,7 @@ def op10_quality_nbsvm(spark: SparkSession, d: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_ownership_secrets, op3_merkle_fingerprints, op4_pii, op5_winnowing_decontamination, op7_parity_jaccard_join, op8_residual_packing, op9_simple8b_output, op10_quality_nbsvm)}
+    return {f.__name__: f for f in (op1_ownership_secrets, op2_suffix_tree_scores, op3_merkle_fingerprints, op4_pii, op5_winnowing_decontamination, op6_sparse_suffix_repeats, op7_parity_jaccard_join, op8_residual_packing, op9_simple8b_output, op10_quality_nbsvm)}
 
 
 def oracle_sql() -> dict[str, str]:

@@ -32,21 +32,24 @@ K = 5
 BLOCK_WORDS = 1_000_000
 
 
-def fingerprints(hashes: np.ndarray, runs: np.ndarray, window: int) -> np.ndarray:
-    """Places of kept k-grams. runs: the text number of each k-gram; equal minima keep the rightmost place."""
+def window_minima(hashes: np.ndarray, runs: np.ndarray, window: int) -> tuple[np.ndarray, np.ndarray]:
+    """Windows that lie in one run, by their first k-gram, and the place of the smallest k-gram of each; of equal ones the rightmost.
+    runs: the text number of each k-gram."""
     n = len(hashes)
     if n < window:
-        return np.zeros(0, np.int64)
+        return np.zeros(0, np.int64), np.zeros(0, np.int64)
     # The low bits carry the place, so one minimum gives value and place (rightmost first among equal high bits).
     place = (np.arange(n, dtype=np.uint64) ^ np.uint64(0xFFFFFF)) & np.uint64(0xFFFFFF)
-    keyed = (mix(hashes) & ~np.uint64(0xFFFFFF)) | place
-    least = sliding_min(keyed, window)
-    whole = runs[: n - window + 1] == runs[window - 1 :]
-    low = (least[whole] & np.uint64(0xFFFFFF)) ^ np.uint64(0xFFFFFF)
-    first = np.flatnonzero(whole)
+    least = sliding_min((mix(hashes) & ~np.uint64(0xFFFFFF)) | place, window)
+    first = np.flatnonzero(runs[: n - window + 1] == runs[window - 1 :])
+    low = (least[first] & np.uint64(0xFFFFFF)) ^ np.uint64(0xFFFFFF)
     # Undo the cut to 24 bits: the place lies within the window.
-    at = first + ((low.astype(np.int64) - first) & 0xFFFFFF)
-    return np.unique(at)
+    return first, first + ((low.astype(np.int64) - first) & 0xFFFFFF)
+
+
+def fingerprints(hashes: np.ndarray, runs: np.ndarray, window: int) -> np.ndarray:
+    """Places of kept k-grams."""
+    return np.unique(window_minima(hashes, runs, window)[1])
 
 
 class Items:
