@@ -21,8 +21,9 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DataType, StructType
 
-from millrace.llm.common import slices
+from millrace.llm.common import slices, text_buffers
 from millrace.llm.hashing import ALNUM, gram_hashes, mix, sliding_min, word_bounds, word_hashes
 
 SPAN = 10
@@ -132,7 +133,7 @@ def matches(words: np.ndarray, doc: np.ndarray, items: Items) -> tuple[np.ndarra
     return tuple(np.concatenate([empty, *x]).astype(np.int64) for x in (firsts, lens, found))
 
 
-def _scan(block, last: bool):
+def _scan(block, last: bool, dropped: tuple[str, ...]):
     """Adds a block's hits to each document: spans as (first word, words) pairs and item ids."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -155,7 +156,7 @@ def _scan(block, last: bool):
                     "items_sha256": pa.array([hashlib.sha256(",".join(sorted(x)).encode()).hexdigest() for x in names]),
                     "contaminated": pa.array([h > 0 for h in hits]),
                 }
-            keep = [f.name for f in rows.schema if f.name not in cols and not (last and f.name == "text")]
+            keep = [f.name for f in rows.schema if f.name not in cols and not (last and f.name in dropped)]
             yield pa.RecordBatch.from_arrays([*(rows.column(rows.schema.get_field_index(c)) for c in keep), *cols.values()], [*keep, *cols])
 
     return run
@@ -169,16 +170,15 @@ def _covered(spans: list[int]) -> int:
     return total
 
 
-def decontaminate(docs: DataFrame, benchmark: DataFrame, span: int = SPAN, k: int = K, block_words: int = BLOCK_WORDS) -> DataFrame:
-    """Per document: doc_id, n_words, spans (first word, words, ...), items, n_hit, n_items, items_sha256, contaminated."""
+def decontaminate(docs: DataFrame, benchmark: DataFrame, span: int = SPAN, k: int = K, block_words: int = BLOCK_WORDS, keep: bool = False) -> DataFrame:
+    """Per document: doc_id, n_words, spans (first word, words, ...), items, n_hit, n_items, items_sha256, contaminated.
+    keep: with all columns of docs, which then must not have these names."""
     spark = docs.sparkSession
     blocks, ids, texts, have = [], [], [], 0
 
     def flush() -> None:
         nonlocal ids, texts, have
         column = pa.array(texts, pa.large_string())
-        from millrace.llm.common import text_buffers
-
         blocks.append(spark.sparkContext.broadcast(Items(ids, *text_buffers(column), span, k)))
         ids, texts, have = [], [], 0
 
@@ -191,13 +191,14 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, span: int = SPAN, k: in
             flush()
     if ids or not blocks:
         flush()
-    out = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.expr("cast(null as array<bigint>)").alias("spans"), F.expr("cast(null as array<string>)").alias("items"))
+    own = docs.withColumn("doc_id", F.col("doc_id").cast("long"))
+    out = (own if keep else own.select("doc_id", "text")).withColumns({"spans": F.expr("cast(null as array<bigint>)"), "items": F.expr("cast(null as array<string>)"), "n_words": F.expr("cast(null as bigint)")})
+    dropped = () if keep else ("text",)
     for i, block in enumerate(blocks):
         last = i == len(blocks) - 1
-        out = out.mapInArrow(
-            _scan(block, last),
-            "doc_id long, " + ("" if last else "text string, ") + "spans array<long>, items array<string>, n_words long" + (", n_hit long, n_items long, items_sha256 string, contaminated boolean" if last else ""),
-        )
-        if not last:
-            out = out.drop("n_words")
+        fields = [f for f in out.schema.fields if f.name not in ("spans", "items", "n_words") and not (last and f.name in dropped)]
+        schema = StructType(fields)
+        for part in ["spans array<long>", "items array<string>", "n_words long"] + (["n_hit long", "n_items long", "items_sha256 string", "contaminated boolean"] if last else []):
+            schema = schema.add(part.split()[0], DataType.fromDDL(part.split()[1]))
+        out = out.mapInArrow(_scan(block, last, dropped), schema)
     return out
