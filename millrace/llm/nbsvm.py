@@ -27,7 +27,7 @@ DIM = 1 << BITS
 #: Texts whose features are marked together.
 GROUP = 256
 #: Labelled rows of each class that the hinge-loss fit sees at most. Counts see all.
-FIT_ROWS = 4000
+FIT_ROWS = 2000
 EPOCHS = 12
 COST = 1.0
 SMOOTH = 1.0
@@ -113,26 +113,39 @@ def _total(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array([kind], pa.int32()), pa.array([x.astype("<i8").tobytes()], pa.binary()), pa.array([place], pa.int64())], ["kind", "data", "place"])
 
 
-def dual_descent(vectors: list[np.ndarray], ratio: np.ndarray, sign: np.ndarray, cost: np.ndarray, epochs: int = EPOCHS) -> np.ndarray:
-    """Weights of the L1-loss linear SVM over indicators scaled by ratio, rows scaled to length 1; a bias place at the end."""
-    w = np.zeros(len(ratio) + 1)
-    values = []
-    for v in vectors:
-        x = ratio[v]
-        values.append(x / max(1e-12, np.sqrt(x @ x)))
-    vectors = [np.append(v, len(ratio)) for v in vectors]
-    values = [np.append(x, 1.0) for x in values]
-    norm = np.array([x @ x for x in values])
-    alpha = np.zeros(len(vectors))
+class Rows:
+    """Scaled indicator vectors of the fit, each of length 1, end to end."""
+
+    def __init__(self, index: np.ndarray, sizes: np.ndarray, ratio: np.ndarray):
+        self.index, self.ends = index, np.cumsum(sizes)
+        self.starts = self.ends - sizes
+        self.value = ratio[index].astype(np.float32)
+        doc = np.repeat(np.arange(len(sizes)), sizes)
+        norm = np.sqrt(np.bincount(doc, weights=self.value.astype(np.float64) ** 2, minlength=len(sizes)))
+        self.value /= np.maximum(norm, 1e-12)[doc].astype(np.float32)
+
+    def __len__(self) -> int:
+        return len(self.ends)
+
+    def row(self, i: int) -> tuple[np.ndarray, np.ndarray]:
+        return self.index[self.starts[i] : self.ends[i]], self.value[self.starts[i] : self.ends[i]]
+
+
+def dual_descent(rows: Rows, own: np.ndarray, sign: np.ndarray, cost: np.ndarray, dim: int = DIM, epochs: int = EPOCHS) -> np.ndarray:
+    """Weights of the L1-loss linear SVM over the rows in own; the bias last."""
+    w = np.zeros(dim + 1)
+    alpha = np.zeros(len(rows))
     rng = np.random.default_rng(7)
     for _ in range(epochs):
         moved = 0.0
-        for i in rng.permutation(len(vectors)).tolist():
-            v, x = vectors[i], values[i]
-            g = sign[i] * float(w[v] @ x) - 1.0
-            a = min(max(alpha[i] - g / norm[i], 0.0), cost[i])
+        for i in rng.permutation(own).tolist():
+            v, x = rows.row(i)
+            g = sign[i] * (float(w[v] @ x) + w[-1]) - 1.0
+            a = min(max(alpha[i] - g / 2.0, 0.0), cost[i])  # a row of length 1 and the bias: norm 2
             if a != alpha[i]:
-                w[v] += (a - alpha[i]) * sign[i] * x
+                step = (a - alpha[i]) * sign[i]
+                w[v] += step * x
+                w[-1] += step
                 moved = max(moved, abs(a - alpha[i]))
                 alpha[i] = a
         if moved < 1e-3:
@@ -175,7 +188,13 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "quality", mod: int = 3
     where = shared_dir(spark)
     counted = materialise(known.mapInArrow(_count, "kind int, data binary, place long"), where, "counts")
     totals = counted.where("kind >= 2").repartition(16, "kind", "place").mapInArrow(_total, "kind int, data binary, place long").collect()  # 2 * DIM numbers
-    sample = counted.where("kind < 2").orderBy("place").collect()  # 2 * fit_rows rows at most
+    y, sizes, parts = [], [], []
+    for kind, data, _ in counted.where("kind < 2").orderBy("place").toLocalIterator():  # 2 * fit_rows rows at most
+        y.append(kind)
+        sizes.append(len(data) // 4)
+        parts.append(bytes(data))
+    y, sizes, index = np.array(y), np.array(sizes, np.int64), np.frombuffer(b"".join(parts), "<i4")
+    parts.clear()
     counts, n = np.zeros((2, DIM)), np.zeros(2)
     for kind, data, place in totals:
         x = np.frombuffer(data, "<i8")
@@ -189,30 +208,26 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "quality", mod: int = 3
     p, q = counts[1] + SMOOTH, counts[0] + SMOOTH
     ratio = np.log(p / (n[1] + 2 * SMOOTH)) - np.log(q / (n[0] + 2 * SMOOTH))
     ratio[(counts[0] + counts[1]) < 2] = 0.0
-    y = np.array([r[0] for r in sample])
-    vectors = [np.frombuffer(r[1], "<i4").astype(np.int32) for r in sample]
+    sign = np.where(y == 1, 1.0, -1.0)
     cost = COST * np.where(y == 1, len(y) / (2 * max(1, (y == 1).sum())), len(y) / (2 * max(1, (y == 0).sum())))
+    rows = Rows(index, sizes, ratio)
     # Two halves give margins of rows that the fit has not seen, for the logistic curve.
     half = np.arange(len(y)) % 2 == 0
     margin = np.zeros(len(y))
     for part in (half, ~half):
         own = np.flatnonzero(part)
-        if len(own) and len(set(y[own])) == 2:
-            w = dual_descent([vectors[i] for i in own], ratio, np.where(y[own] == 1, 1.0, -1.0), cost[own], 6)
+        if len(set(y[own].tolist())) == 2:
+            w = dual_descent(rows, own, sign, cost, epochs=6)
             for i in np.flatnonzero(~part).tolist():
-                margin[i] = _margin(w, ratio, vectors[i])
-    w = dual_descent(vectors, ratio, np.where(y == 1, 1.0, -1.0), cost)
+                v, x = rows.row(i)
+                margin[i] = float(w[v] @ x) + w[-1]
+    w = dual_descent(rows, np.arange(len(y)), sign, cost)
     a, b = _platt(margin, y) if margin.any() else (1.0, 0.0)
     # The sample holds the classes in other shares than the labelled rows do.
     b += float(np.log(n[1] / n[0]) - np.log(max(1, (y == 1).sum()) / max(1, (y == 0).sum())))
     return {"w": (w[:-1] * ratio).astype(np.float32), "bias": float(w[-1]), "a": a, "b": b, "ratio": ratio.astype(np.float32)}
 
 
-def _margin(w: np.ndarray, ratio: np.ndarray, v: np.ndarray) -> float:
-    x = ratio[v]
-    return float((w[v] @ x) / max(1e-12, np.sqrt(x @ x)) + w[-1])
-
-
 def score(docs: DataFrame, model: dict) -> DataFrame:
     """docs' columns plus score (probability of label 1)."""
     held = docs.sparkSession.sparkContext.broadcast(model)
