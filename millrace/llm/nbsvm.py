@@ -1,6 +1,7 @@
 """Quality classifier: naive Bayes support vectors.
 
-Indicators of n-grams (byte 1- to 4-grams, words and word pairs, hashed to DIM places) are scaled by the log-count
+Indicators of n-grams (byte 1- to 4-grams, words and word pairs, 1- to 3-grams of word shapes, the text's length and
+repetition by classes, hashed to DIM places) are scaled by the log-count
 ratio of the two classes; a linear hinge-loss model is fitted on the scaled vectors by dual coordinate descent; a
 logistic curve turns its margin into a score. Class counts cover all labelled training rows; the fit uses at most
 FIT_ROWS of them per class, taken in the order of a hash of doc_id; the model has DIM weights whatever the input.
@@ -11,7 +12,6 @@ classes every score is the share of label 1 (0.5 without any); repeated doc_ids
 
 from __future__ import annotations
 
-import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -54,11 +54,18 @@ def features(raw: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarray]
     words = word_hashes(raw, start, end)
     parts.append((mix(words) >> np.uint64(64 - BITS)).astype(np.int64))
     owners.append(doc)
-    if len(words) > 1:
-        pairs = gram_hashes(words, 2)
-        same = doc[:-1] == doc[1:]
-        parts.append((pairs[same] >> np.uint64(64 - BITS)).astype(np.int64))
-        owners.append(doc[:-1][same])
+    for code, size in ((words, 2), *((_shapes(raw, start, end, doc, words), k) for k in (1, 2, 3))):
+        if len(code) >= size:
+            grams = gram_hashes(code, size) if size > 1 else code
+            same = doc[: len(grams)] == doc[size - 1 :]
+            parts.append((mix(grams[same] + np.uint64(size)) >> np.uint64(64 - BITS)).astype(np.int64))
+            owners.append(doc[: len(grams)][same])
+    counts = np.bincount(doc, minlength=texts)
+    again = np.bincount(doc[1:][(doc[1:] == doc[:-1]) & (words[1:] == words[:-1])], minlength=texts) if len(words) else counts
+    # Two indicators of the whole text: its length in words, by powers of two, and the share of words that repeat the one before.
+    for salt, level in ((1, np.ceil(np.log2(counts + 1.0))), (2, np.ceil(16.0 * again / np.maximum(counts, 1)))):
+        parts.append((mix(level.astype(np.uint64) + np.uint64(salt << 50)) >> np.uint64(64 - BITS)).astype(np.int64))
+        owners.append(np.arange(texts))
     # Distinct (text, place) by a dense mark of GROUP * DIM bytes at most: no sort.
     mark = np.zeros(texts * DIM, bool)
     for place, owner in zip(parts, owners, strict=True):
@@ -67,8 +74,18 @@ def features(raw: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarray]
     return keys & (DIM - 1), np.bincount(keys >> BITS, minlength=texts)
 
 
-def held_out(doc_id: np.ndarray, mod: int, rest: int) -> np.ndarray:
-    return np.fromiter((zlib.crc32(str(x).encode()) % mod == rest for x in doc_id.tolist()), bool, len(doc_id))
+def _shapes(raw: np.ndarray, start: np.ndarray, end: np.ndarray, doc: np.ndarray, words: np.ndarray) -> np.ndarray:
+    """A word's shape: length class, capitals, last byte if no letter, and whether it repeats the word before."""
+    if not len(start):
+        return np.zeros(0, np.uint64)
+    size = end - start
+    upper = lambda x: (x >= 65) & (x <= 90)
+    last = raw[end - 1].astype(np.uint64)
+    letter = ((last >= 97) & (last <= 122)) | ((last >= 65) & (last <= 90)) | (last >= 128)
+    same = np.zeros(len(start), bool)
+    same[1:] = (words[1:] == words[:-1]) & (doc[1:] == doc[:-1])
+    code = np.minimum(3, size // 3).astype(np.uint64) | upper(raw[start]).astype(np.uint64) << np.uint64(2) | (upper(raw[np.minimum(start + 1, len(raw) - 1)]) & (size > 1)).astype(np.uint64) << np.uint64(3)
+    return mix(code | np.where(letter, 0, last).astype(np.uint64) << np.uint64(8) | same.astype(np.uint64) << np.uint64(20) | np.uint64(1 << 40))
 
 
 def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
