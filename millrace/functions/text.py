@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import unicodedata
+
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
@@ -13,7 +15,9 @@ from millrace.functions.constants import ABBREVIATIONS, BUSINESS_SUFFIXES, FRENC
 
 @F.arrow_udf(StringType())
 def _nfkc(text: pa.Array) -> pa.Array:
-    return pc.utf8_normalize(text, form="NFKC")
+    if pc.all(pc.string_is_ascii(text)).as_py() is not False:
+        return text
+    return pa.array([t if t is None or t.isascii() else unicodedata.normalize("NFKC", t) for t in text.to_pylist()], pa.string())
 
 
 def nfkc(text: Column) -> Column:

@@ -10,6 +10,7 @@ from collections.abc import Callable, Iterator
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, BooleanType, DoubleType, FloatType, IntegerType, StringType
 
 
 def text_embeddings(df: DataFrame, id_column: str, text: str, dim: int = 384, model: Callable[[list[str]], list[list[float]]] | None = None) -> DataFrame:
@@ -23,7 +24,7 @@ def text_embeddings(df: DataFrame, id_column: str, text: str, dim: int = 384, mo
             rows = [(list(v) + [0.0] * dim)[:dim] for v in got]
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(rows, pa.list_(pa.float32()))], [b.schema.names[0], "embedding"])
 
-    return df.select(id_column, F.col(text).cast("string").alias("_t")).mapInArrow(run, df.select(id_column).schema.add("embedding", "array<float>"))
+    return df.select(id_column, F.col(text).cast("string").alias("_t")).mapInArrow(run, df.select(id_column).schema.add("embedding", ArrayType(FloatType())))
 
 
 def expand_embedding(df: DataFrame, dim: int, prefix: str = "text_emb_", column: str = "embedding") -> DataFrame:
@@ -73,7 +74,7 @@ def ocr(df: DataFrame, id_column: str, content: str = "content", backend: str |
                     errors.append(f"{type(e).__name__}: {e}"[:500])
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(texts), pa.array(errors, pa.string())], [b.schema.names[0], "text", "error"])
 
-    return df.select(id_column, F.col(content).cast("binary").alias("_c")).mapInArrow(run, df.select(id_column).schema.add("text", "string").add("error", "string"))
+    return df.select(id_column, F.col(content).cast("binary").alias("_c")).mapInArrow(run, df.select(id_column).schema.add("text", StringType()).add("error", StringType()))
 
 
 def prepare_images(df: DataFrame, id_column: str, content: str = "content", size: int = 224, mean: tuple = (0.485, 0.456, 0.406), std: tuple = (0.229, 0.224, 0.225)) -> DataFrame:
@@ -102,7 +103,7 @@ def prepare_images(df: DataFrame, id_column: str, content: str = "content", size
             cols = list(zip(*rows, strict=True)) if rows else [[]] * 4
             yield pa.RecordBatch.from_arrays([b.column(0), *(pa.array(c, t) for c, t in zip(cols, (pa.bool_(), pa.int32(), pa.int32(), pa.list_(pa.float32())), strict=True))], [b.schema.names[0], "valid", "width", "height", "pixels"])
 
-    return df.select(id_column, F.col(content).cast("binary").alias("_c")).mapInArrow(run, df.select(id_column).schema.add("valid", "boolean").add("width", "int").add("height", "int").add("pixels", "array<float>"))
+    return df.select(id_column, F.col(content).cast("binary").alias("_c")).mapInArrow(run, df.select(id_column).schema.add("valid", BooleanType()).add("width", IntegerType()).add("height", IntegerType()).add("pixels", ArrayType(FloatType())))
 
 
 def score_pairs(df: DataFrame, prompt: str = "prompt", scorer: Callable[[list[str]], list[tuple[float, float]]] | None = None) -> DataFrame:
@@ -117,4 +118,4 @@ def score_pairs(df: DataFrame, prompt: str = "prompt", scorer: Callable[[list[st
             got = scorer(b.column(b.schema.get_field_index(prompt)).to_pylist())
             yield pa.RecordBatch.from_arrays([*b.columns, pa.array([1 / (1 + math.exp(max(-700.0, min(700.0, no - yes)))) for yes, no in got], pa.float64())], [*b.schema.names, "score"])
 
-    return df.mapInArrow(run, df.schema.add("score", "double"))
+    return df.mapInArrow(run, df.schema.add("score", DoubleType()))

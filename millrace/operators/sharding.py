@@ -6,6 +6,7 @@ from fractions import Fraction
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegerType
 
 
 def _md5_number(value: Column) -> Column:
@@ -132,7 +133,7 @@ def balanced_folds(df: DataFrame, group: str, folds: int, most_groups: int = 1_0
         load, i = heapq.heappop(heap)
         out.append((r[group], i))
         heapq.heappush(heap, (load + r["c"], i))
-    table = df.sparkSession.createDataFrame(out, df.select(group).schema.add("fold", "int"))
+    table = df.sparkSession.createDataFrame(out, df.select(group).schema.add("fold", IntegerType()))
     return df.join(table, group)
 
 

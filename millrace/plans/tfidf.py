@@ -26,12 +26,9 @@ def postings(names: DataFrame, max_features: int | None = None) -> DataFrame:
 
 
 def pair_cosine(pairs: DataFrame, weights: DataFrame) -> DataFrame:
-    """pairs (a, b) -> (a, b, cosine): 0 for pairs without a common gram. Postings of both sides are packed into one row per id,
-    so each pair costs two joins on ids and no row per common gram."""
-    packed = weights.groupBy("id").agg(F.map_from_entries(F.array_sort(F.collect_list(F.struct("gram", "w")))).alias("m"))  # grams of one name
-    joined = pairs.join(packed.select(F.col("id").alias("a"), F.col("m").alias("x")), "a", "left").join(packed.select(F.col("id").alias("b"), F.col("m").alias("y")), "b", "left")
-    dot = F.expr("aggregate(array_intersect(map_keys(x), map_keys(y)), 0.0D, (s, g) -> s + x[g] * y[g])")
-    return joined.select("a", "b", F.coalesce(dot, F.lit(0.0)).alias("cosine"))
+    """pairs (a, b) -> (a, b, cosine): 0 for pairs without a common gram. A pair makes a row for each gram of a, never more."""
+    x, y = weights.select(F.col("id").alias("a"), "gram", F.col("w").alias("x")), weights.select(F.col("id").alias("b"), "gram", F.col("w").alias("y"))
+    return pairs.join(x, "a", "left").join(y, ["b", "gram"], "left").groupBy("a", "b").agg(F.coalesce(F.sum(F.col("x") * F.col("y")), F.lit(0.0)).alias("cosine"))
 
 
 def top_k(left: DataFrame, right: DataFrame, k: int, floor: float = 0.2, max_features: int | None = None) -> DataFrame:

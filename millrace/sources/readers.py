@@ -6,7 +6,7 @@ import json
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType, StructField, StructType
+from pyspark.sql.types import IntegerType, StringType, StructField, StructType
 
 ENTITY_SCHEMA = StructType([StructField(c, StringType()) for c in ("entity_id", "business_name", "business_address", "country")])
 TRUTH_SCHEMA = StructType([StructField(c, StringType()) for c in ("source1_entity_id", "matched_entity_ids")])
@@ -49,7 +49,7 @@ def entities(spark: SparkSession, folder: str, split: str, max_rows: int = -1, s
             one = spark.read.schema(ENTITY_SCHEMA).option("sep", "\t").option("header", True).option("quote", "").csv(path).na.fill("")
             one = row_limit(one, "entity_id", max_rows).withColumn("source", F.lit(i))
             out = one if out is None else out.unionByName(one)
-    return spark.createDataFrame([], ENTITY_SCHEMA.add("source", "int")) if out is None else out
+    return spark.createDataFrame([], StructType([*ENTITY_SCHEMA.fields, StructField("source", IntegerType())])) if out is None else out
 
 
 def ground_truth(spark: SparkSession, folder: str, required: bool = False) -> DataFrame:
