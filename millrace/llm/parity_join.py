@@ -39,6 +39,8 @@ from millrace.llm.hashing import SPACED, gram_hashes, mix, sequence_hash, word_b
 GROUP = 2048
 #: Groups up to this size send all pairs that pass the sketches; larger ones a spanning forest.
 SMALL = 8
+#: How much more pairs of two components each further round verifies.
+GROWTH = 16
 #: Keys a task gathers before it sends them by bucket.
 FLUSH_KEYS = 600_000
 #: Slots of the bit map that marks the documents whose sets are needed.
@@ -289,7 +291,7 @@ def _forest(near: np.ndarray) -> list[tuple[int, int]]:
 
 def _candidates(bands: Bands, best: int | None):
     """Pairs to verify in each group. best None: a spanning forest (all pairs in small groups); else of each two components
-    in a group the `best` nearest pairs, unless a quarter as many were all. Rows come by gid: gid, node, n, sketch, label."""
+    in a group the `best` nearest pairs, unless the round before sent them all. Rows come by gid: gid, node, n, sketch, label."""
 
     def pairs(node, n, sk, label) -> set[tuple[int, int]]:
         if best is not None and (len(n) <= SMALL or len(set(label)) < 2):
@@ -307,7 +309,7 @@ def _candidates(bands: Bands, best: int | None):
             by.setdefault((min(label[a], label[b]), max(label[a], label[b])), []).append((a, b))
         out = set()
         for ps in by.values():
-            if best > 1 and len(ps) <= best // 4:
+            if best > 4 and len(ps) <= best // GROWTH:
                 continue
             if len(ps) > best:
                 far = lambda p: int(np.bitwise_count(_folded(np.frombuffer(sk[p[0]], np.uint64), width) ^ _folded(np.frombuffer(sk[p[1]], np.uint64), width)).sum())
@@ -421,7 +423,7 @@ def similar(docs: DataFrame, k: int = 5, num: int = 80, den: int = 100) -> DataF
     blocks = blocks.withColumn("own", F.expr("case when k > 1 then cast(pmod(node, k) as int) else 0 end")).withColumn("o", F.explode(F.expr("case when k > 1 then sequence(0, k - 1) else array(0) end")))
     blocks = blocks.select(F.expr("case when k > 1 then xxhash64(gid, least(own, o), greatest(own, o)) else gid end").alias("gid"), "node", "n")
     blocks = materialise(blocks.join(sets.select("node", "sketch"), "node"), where, "blocks")
-    labels, links, best, turn = None, None, None, 0
+    labels, counted, best, turn = None, None, None, 0
     while True:
         rows = blocks.withColumn("label", F.col("node")) if labels is None else blocks.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
         found = rows.select("gid", "node", "n", "sketch", "label").repartition(n, "gid").sortWithinPartitions("gid", "node").mapInArrow(_candidates(bands, best), "a long, b long").distinct()
@@ -430,10 +432,14 @@ def similar(docs: DataFrame, k: int = 5, num: int = 80, den: int = 100) -> DataF
             break
         x, y = sets.select(F.col("node").alias("a"), F.col("tokens").alias("x")), sets.select(F.col("node").alias("b"), F.col("tokens").alias("y"))
         new = materialise(found.join(x, "a").join(y, "b").mapInArrow(_verify(num, den), "a long, b long"), where, f"links{turn}")
-        links = new if links is None else links.unionByName(new)
-        labels = components(links, where, f"components{turn}")
-        best, turn = (1 if best is None else best * 4), turn + 1
-    found = links.select(F.col("a").alias("node")).unionByName(links.select(F.col("b").alias("node"))).groupBy("node").agg(F.count(F.lit(1)).alias("n_links_found"))
+        links = new.select(F.col("a").alias("node")).unionByName(new.select(F.col("b").alias("node")))
+        counted = links if counted is None else counted.unionByName(links)
+        if labels is None or not new.isEmpty():
+            # Labels so far are stars, so new links only join stars.
+            edges = new if labels is None else new.unionByName(labels.select(F.col("node").alias("a"), F.col("label").alias("b")))
+            labels = components(edges, where, f"components{turn}")
+        best, turn = (4 if best is None else best * GROWTH), turn + 1
+    found = counted.groupBy("node").agg(F.count(F.lit(1)).alias("n_links_found"))
     # Smallest doc_id of each component: first over equal sets, then over their labels.
     rep = nodes.where("n > 0").groupBy("node").agg(F.min("doc_id").alias("least")).join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
     comp = rep.groupBy("label").agg(F.min("least").alias("component_id"))
