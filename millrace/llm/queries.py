@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import merkle, nbsvm, ownership, packing, parity_join, pii, simple8b, sparse_suffix, suffix_tree, winnowing
+from millrace.llm import merkle, nbsvm, oracles, ownership, packing, parity_join, pii, simple8b, sparse_suffix, suffix_tree, winnowing
 
 
 def vocabulary() -> str:
@@ -50,7 +50,7 @@ def op6_sparse_suffix_repeats(spark: SparkSession, d: str) -> DataFrame:
 
 
 def op7_parity_jaccard_join(spark: SparkSession, d: str) -> DataFrame:
-    return parity_join.similar(_table(spark, d, "documents").select("doc_id", "text"), k=5, num=80, den=100)
+    return parity_join.similar(_table(spark, d, "documents").select("doc_id", "text"), k=5, num=80, den=100).select("doc_id", "n_shingles", "component_id")
 
 
 def op8_residual_packing(spark: SparkSession, d: str) -> DataFrame:
@@ -76,4 +76,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return dict(oracles.SQL)
