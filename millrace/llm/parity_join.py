@@ -438,11 +438,18 @@ def similar(docs: DataFrame, k: int = 5, num: int = 80, den: int = 100) -> DataF
     blocks = groups.join(big, "gid", "left").withColumn("k", F.expr(f"cast(ceil(coalesce(c, 0) * 2 / {GROUP}) as int)"))
     blocks = blocks.withColumn("own", F.expr("case when k > 1 then cast(pmod(node, k) as int) else 0 end")).withColumn("o", F.explode(F.expr("case when k > 1 then sequence(0, k - 1) else array(0) end")))
     blocks = blocks.select(F.expr("case when k > 1 then xxhash64(gid, least(own, o), greatest(own, o)) else gid end").alias("gid"), "node", "n")
-    blocks = materialise(blocks.join(sets.select("node", "sketch"), "node"), where, "blocks")
+    blocks = materialise(blocks, where, "blocks")
     labels, counted, best, turn = None, None, None, 0
     while True:
-        rows = blocks.withColumn("label", F.col("node")) if labels is None else blocks.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
-        found = rows.select("gid", "node", "n", "sketch", "label").repartition(n, "gid").sortWithinPartitions("gid", "node").mapInArrow(_candidates(bands, best), "a long, b long").distinct()
+        if labels is None:
+            rows = blocks.withColumn("label", F.col("node"))
+        else:
+            # Groups whose nodes are in one component by now, and small ones, all of whose pairs went, are done with.
+            rows = materialise(blocks.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node")), where, f"labelled{turn}")
+            open_ = rows.groupBy("gid").agg(F.count(F.lit(1)).alias("c"), F.min("label").alias("l"), F.max("label").alias("m")).where(f"c > {SMALL} and l <> m").select("gid")
+            rows = rows.join(open_, "gid", "left_semi")
+        rows = rows.join(sets.select("node", "sketch"), "node").select("gid", "node", "n", "sketch", "label")
+        found = rows.repartition(n, "gid").sortWithinPartitions("gid", "node").mapInArrow(_candidates(bands, best), "a long, b long").distinct()
         found = materialise(found, where, f"pairs{turn}")
         if best is not None and found.isEmpty():
             break
