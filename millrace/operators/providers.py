@@ -10,7 +10,7 @@ from collections.abc import Callable, Iterator
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, BooleanType, DoubleType, FloatType, IntegerType, StringType
+from pyspark.sql.types import ArrayType, BooleanType, DoubleType, FloatType, IntegerType, StringType, StructField, StructType
 
 
 def text_embeddings(df: DataFrame, id_column: str, text: str, dim: int = 384, model: Callable[[list[str]], list[list[float]]] | None = None) -> DataFrame:
@@ -118,4 +118,4 @@ def score_pairs(df: DataFrame, prompt: str = "prompt", scorer: Callable[[list[st
             got = scorer(b.column(b.schema.get_field_index(prompt)).to_pylist())
             yield pa.RecordBatch.from_arrays([*b.columns, pa.array([1 / (1 + math.exp(max(-700.0, min(700.0, no - yes)))) for yes, no in got], pa.float64())], [*b.schema.names, "score"])
 
-    return df.mapInArrow(run, df.schema.add("score", DoubleType()))
+    return df.mapInArrow(run, StructType([*df.schema.fields, StructField("score", DoubleType())]))
