@@ -40,7 +40,7 @@ BEFORE, END = 9, 10
 #: Bytes of text whose distinct words make one request.
 REQUEST_BYTES = 8 << 20
 #: Distinct grams that a task gathers before it sends them.
-FLUSH_GRAMS = 1_500_000
+FLUSH_GRAMS = 1_000_000
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
 
@@ -101,7 +101,7 @@ def _grams(mod: int, rest: int, buckets: int):
             keys, counts, have = [], [], 0
             return pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*rows, strict=True), (pa.int32(), pa.binary(), pa.binary()), strict=True)], ["bucket", "grams", "counts"])
 
-        for rows, raw, offs in slices(batches):
+        for rows, raw, offs in slices(batches, 1 << 20):
             held = _held(int_column(rows, "doc_id"), mod, rest)
             start, end, doc = word_bounds(raw, offs, SPACED)
             out, ends = stream(raw, offs, start, end, doc)
@@ -276,7 +276,7 @@ def _requests(tree, mod: int, rest: int, buckets: int):
             return pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*rows, strict=True), types, strict=True)], names)
 
         held = tree.value
-        for rows, raw, offs in slices(batches):
+        for rows, raw, offs in slices(batches, 1 << 20):
             start, end, doc = word_bounds(raw, offs, SPACED)
             out, ends = stream(raw, offs, start, end, doc)
             made.append((int_column(rows, "doc_id"), np.bincount(doc, minlength=rows.num_rows), word_hashes(raw, start, end), log10_probability(held, out, ends)))
