@@ -13,6 +13,7 @@ from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 
 import millrace
+from millrace.llm.hashing import mix
 
 # Workers get functions by value, so executors need no copy of the package on their path.
 cloudpickle.register_pickle_by_value(millrace)
@@ -78,3 +79,41 @@ def sum_by(keys: np.ndarray, values: np.ndarray, n: int) -> np.ndarray:
 
 def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
+#: Slots of a bit map of long values: 8 MB.
+MAP_BITS = 26
+
+
+def _marks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Parts of the bit map of doc_ids: (part, bits). A task's rows hold whole parts."""
+    parts: dict[int, np.ndarray] = {}
+    for b in batches:
+        for slot in np.unique(b.column(b.schema.get_field_index("slot")).to_numpy()).tolist():
+            parts.setdefault(slot >> 16, np.zeros(1 << 13, np.uint8))[(slot & 0xFFFF) >> 3] |= 1 << (slot & 7)
+    yield pa.RecordBatch.from_arrays([pa.array(list(parts), pa.int32()), pa.array([p.tobytes() for p in parts.values()], pa.binary())], ["part", "bits"])
+
+
+def _slots(values: np.ndarray) -> np.ndarray:
+    return (mix(values.astype(np.int64).view(np.uint64) + np.uint64(9)) >> np.uint64(64 - MAP_BITS)).astype(np.int64)
+
+
+def _add_slot(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for b in batches:
+        s = _slots(b.column(0).to_numpy(zero_copy_only=False))
+        yield pa.RecordBatch.from_arrays([pa.array(s.astype(np.int32)), pa.array((s >> 16).astype(np.int32))], ["slot", "part"])
+
+
+def bit_map(values: DataFrame):
+    """A broadcast bit map of the values of a long column: 2 ** MAP_BITS bits, whatever their number."""
+    parts = values.mapInArrow(_add_slot, "slot int, part int").repartition(16, "part").mapInArrow(_marks, "part int, bits binary").collect()
+    marks = bytearray(1 << (MAP_BITS - 3))
+    for part, bits in parts:
+        marks[part << 13 : (part + 1) << 13] = bytes(bits)
+    return values.sparkSession.sparkContext.broadcast(bytes(marks))
+
+
+def marked(batch: pa.RecordBatch, column: str, marks) -> pa.RecordBatch:
+    """Rows that the bit map may hold; false marks are few until it fills up, and cost only time."""
+    bits, s = np.frombuffer(marks.value, np.uint8), _slots(int_column(batch, column))
+    return batch.filter(pa.array((bits[s >> 3] >> (s & 7).astype(np.uint8) & 1).astype(bool)))

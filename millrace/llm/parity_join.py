@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm.common import int_column, materialise, shared_dir, shuffle_partitions, slices
+from millrace.llm.common import bit_map, int_column, marked, materialise, shared_dir, shuffle_partitions, slices
 from millrace.llm.components import components
 from millrace.llm.hashing import SPACED, gram_hashes, mix, sequence_hash, word_bounds, word_hashes
 
@@ -43,8 +43,6 @@ SMALL = 8
 GROWTH = 16
 #: Keys a task gathers before it sends them by bucket.
 FLUSH_KEYS = 600_000
-#: Slots of the bit map that marks the documents whose sets are needed.
-MAP_BITS = 26
 
 
 class Bands:
@@ -342,44 +340,10 @@ def _candidates(bands: Bands, best: int | None):
     return run
 
 
-def _marks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Parts of the bit map of doc_ids: (part, bits). A task's rows hold whole parts."""
-    parts: dict[int, np.ndarray] = {}
-    for b in batches:
-        for slot in np.unique(b.column(b.schema.get_field_index("slot")).to_numpy()).tolist():
-            parts.setdefault(slot >> 16, np.zeros(1 << 13, np.uint8))[(slot & 0xFFFF) >> 3] |= 1 << (slot & 7)
-    yield pa.RecordBatch.from_arrays([pa.array(list(parts), pa.int32()), pa.array([p.tobytes() for p in parts.values()], pa.binary())], ["part", "bits"])
-
-
-def _slots(values: np.ndarray) -> np.ndarray:
-    return (mix(values.astype(np.int64).view(np.uint64) + np.uint64(9)) >> np.uint64(64 - MAP_BITS)).astype(np.int64)
-
-
-def _add_slot(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for b in batches:
-        s = _slots(b.column(0).to_numpy(zero_copy_only=False))
-        yield pa.RecordBatch.from_arrays([pa.array(s.astype(np.int32)), pa.array((s >> 16).astype(np.int32))], ["slot", "part"])
-
-
-def _bit_map(values: DataFrame):
-    """A broadcast bit map of the values of a long column: 2 ** MAP_BITS bits, whatever their number."""
-    parts = values.mapInArrow(_add_slot, "slot int, part int").repartition(16, "part").mapInArrow(_marks, "part int, bits binary").collect()
-    marks = bytearray(1 << (MAP_BITS - 3))
-    for part, bits in parts:
-        marks[part << 13 : (part + 1) << 13] = bytes(bits)
-    return values.sparkSession.sparkContext.broadcast(bytes(marks))
-
-
-def _marked(batch: pa.RecordBatch, column: str, marks) -> pa.RecordBatch:
-    """Rows that the bit map may hold; false marks are few until it fills up, and cost only time."""
-    bits, s = np.frombuffer(marks.value, np.uint8), _slots(int_column(batch, column))
-    return batch.filter(pa.array((bits[s >> 3] >> (s & 7).astype(np.uint8) & 1).astype(bool)))
-
-
 def _only(marks):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            yield _marked(b, "node", marks)
+            yield marked(b, "node", marks)
 
     return run
 
@@ -389,7 +353,7 @@ def _sets(k: int, marks):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for rows, raw, offs in slices(iter([_marked(batch, "doc_id", marks)]), most=1000):
+            for rows, raw, offs in slices(iter([marked(batch, "doc_id", marks)]), most=1000):
                 tokens, sizes = shingle_sets(raw, offs, k)
                 ends = np.cumsum(sizes)
                 data = tokens.astype("<u8").tobytes()
@@ -430,7 +394,7 @@ def similar(docs: DataFrame, k: int = 5, num: int = 80, den: int = 100) -> DataF
     # One document stands for each node that is in a group.
     wanted = nodes.join(groups.select("node").distinct(), "node").groupBy("node").agg(F.min("doc_id").alias("doc_id"))
     wanted = materialise(wanted, where, "wanted")
-    held = _bit_map(wanted.select("doc_id"))
+    held = bit_map(wanted.select("doc_id"))
     sets = texts.mapInArrow(_sets(k, held), "doc_id long, node long, sketch binary, tokens binary").join(wanted, ["doc_id", "node"], "left_semi").dropDuplicates(["node"])
     sets = materialise(sets.select("node", "sketch", "tokens"), where, "sets")
     # Large groups as pairs of blocks.
@@ -454,7 +418,7 @@ def similar(docs: DataFrame, k: int = 5, num: int = 80, den: int = 100) -> DataF
         if best is not None and found.isEmpty():
             break
         # Only the sets of this round's pairs are shuffled.
-        used = _bit_map(found.select("a").unionByName(found.select(F.col("b").alias("a"))))
+        used = bit_map(found.select("a").unionByName(found.select(F.col("b").alias("a"))))
         own = materialise(sets.select("node", "tokens").mapInArrow(_only(used), "node long, tokens binary"), where, f"used{turn}")
         x, y = own.select(F.col("node").alias("a"), F.col("tokens").alias("x")), own.select(F.col("node").alias("b"), F.col("tokens").alias("y"))
         new = materialise(found.join(x, "a").join(y, "b").mapInArrow(_verify(num, den), "a long, b long"), where, f"links{turn}")
