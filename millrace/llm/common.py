@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
 import tempfile
 import uuid
 from collections.abc import Iterator
@@ -19,7 +21,7 @@ from millrace.llm.hashing import mix
 cloudpickle.register_pickle_by_value(millrace)
 
 #: Bytes of text that one vectorised step works on; a longer single text is a step of its own.
-SLICE_BYTES = 2 << 20
+SLICE_BYTES = 1 << 20
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -55,6 +57,13 @@ def text_buffers(column: pa.Array | pa.ChunkedArray) -> tuple[np.ndarray, np.nda
     return raw[offs[0] : offs[-1]], offs - offs[0]
 
 
+def release() -> None:
+    """Gives freed memory back to the system; a reused Python worker would keep it."""
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):  # not glibc
+        ctypes.CDLL(None).malloc_trim(0)
+
+
 def slices(batches: Iterator[pa.RecordBatch], limit: int = SLICE_BYTES, text: str = "text", most: int = 1 << 30) -> Iterator[tuple[pa.RecordBatch, np.ndarray, np.ndarray]]:
     """Parts of the batches with at most `limit` bytes of text and `most` rows each, or one longer row: (rows, bytes, offsets)."""
     for batch in batches:
@@ -65,6 +74,8 @@ def slices(batches: Iterator[pa.RecordBatch], limit: int = SLICE_BYTES, text: st
             hi = min(n, max(hi, lo + 1), lo + most)
             yield batch.slice(lo, hi - lo), raw[offs[lo] : offs[hi]], offs[lo : hi + 1] - offs[lo]
             lo = hi
+        del batch, raw, offs
+        release()
 
 
 def int_column(batch: pa.RecordBatch, name: str) -> np.ndarray:

@@ -23,7 +23,7 @@ def _powers(base: np.uint64, n: int, _kept: dict = {}) -> np.ndarray:  # noqa: B
         have = np.full(size, base, np.uint64)
         have[0] = 1
         have = np.cumprod(have, dtype=np.uint64)
-        if size <= 1 << 23:
+        if size <= 1 << 21:
             _kept[int(base)] = have
     return have[: n + 1]
 

@@ -25,7 +25,7 @@ from millrace.llm.hashing import SPACED, gram_hashes, mix, word_bounds, word_has
 BITS = 18
 DIM = 1 << BITS
 #: Texts whose features are marked together.
-GROUP = 256
+GROUP = 64
 #: Labelled rows of each class that the hinge-loss fit sees at most. Counts see all.
 FIT_ROWS = 2000
 EPOCHS = 12
@@ -91,7 +91,7 @@ def _shapes(raw: np.ndarray, start: np.ndarray, end: np.ndarray, doc: np.ndarray
 def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Per task: rows and feature counts of each class, and the features of rows in the fit sample."""
     counts, rows_of = np.zeros((2, DIM), np.int64), np.zeros(2, np.int64)
-    for rows, raw, offs in slices(batches, 1 << 20):
+    for rows, raw, offs in slices(batches, 1 << 19):
         index, per = features(raw, offs)
         label = int_column(rows, "label")
         by = np.repeat(label, per)
@@ -263,7 +263,7 @@ def score(docs: DataFrame, model: dict) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = held.value
         square = m["ratio"].astype(np.float64) ** 2
-        for rows, raw, offs in slices(batches, 1 << 20):
+        for rows, raw, offs in slices(batches, 1 << 19):
             index, per = features(raw, offs)
             doc = np.repeat(np.arange(len(per)), per)
             dot = np.bincount(doc, weights=m["w"][index], minlength=len(per))
