@@ -58,3 +58,22 @@ def test_edges(spark):
     rows = spark.createDataFrame([(None, "a b"), (5, None), (5, None)], "doc_id long, text string")
     got = suffix_tree.score(rows).collect()
     assert sorted(x.n_tokens for x in got) == [1, 1, 3] and {x.train_tokens for x in got} <= {1, 2, 3, 4, 5}
+
+
+def test_contexts_do_not_fall_out_as_the_corpus_grows(spark):
+    """Only the rare texts have tt, always before e: 20 places of over a million, far below a share of 1e-4."""
+    rare = ["atte natte"] * 12
+    r = random.Random(3)
+    filler = [" ".join("".join(r.choice("aehinorst") for _ in range(r.randint(2, 7))).replace("tt", "t").replace("tt", "t") for _ in range(4000)) for _ in range(60)]
+    assert sum(map(len, filler)) > 1_000_000
+    docs = frame(spark, rare + filler).select("doc_id", "text")
+    tree = suffix_tree.train(docs, 7, 2)
+    child, none, text = tree["child"], len(tree["child"]) - 1, rare[0].encode()
+    assert child[child[0, ord("t")], ord("t")] != none and tree["logp"][child[child[0, ord("t")], ord("t")], ord("e")] > -0.3
+    s, want = [suffix_tree.BEFORE] * suffix_tree.DEPTH + list(text) + [suffix_tree.END], 0.0
+    for j in range(suffix_tree.DEPTH, len(s)):
+        state, d = 0, 1
+        while d <= suffix_tree.DEPTH and child[state, s[j - d]] != none:
+            state, d = child[state, s[j - d]], d + 1
+        want += float(tree["logp"][state, s[j]])
+    assert math.isclose(suffix_tree.score(docs).where("doc_id = 0").first().score, want, rel_tol=1e-6)
