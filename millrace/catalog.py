@@ -525,6 +525,28 @@ def blocking_recall(spark, d):
     return blocking.recall(candidates_union(spark, d), truth(spark, d))
 
 
+def q_all_candidates(cap: int | None, profile: str, k: int) -> str:
+    """The key passes and the pass of similar names."""
+    key_passes, union = q_candidates(cap, profile).rsplit(", cand as ", 1)
+    names = "select concat('l', entity_id) as id, business_name as name from s1 where length(business_name) >= 2 union all select concat('r', entity_id), business_name from s2 where length(business_name) >= 2"
+    near = "select a.id as a, b.id as b, round(sum(a.w * b.w), 9) as cosine from w a join w b using (gram) where a.id like 'l%' and b.id like 'r%' group by 1, 2 having sum(a.w * b.w) > 0.2"
+    found = f"select substr(a, 2) as source1_entity_id, substr(b, 2) as source2_entity_id from near qualify row_number() over (partition by a order by cosine desc, substr(b, 2)) <= {k}"
+    return f"{key_passes}, {q_postings(names)}, near as ({near}), p_names as ({found}), cand as ({union[1:-1]} union select * from p_names)"
+
+
+@query("with " + q_all_candidates(50, "v3", 5) + " select source1_entity_id, source2_entity_id from cand")
+def candidates_all_passes(spark, d):
+    """With the pass of similar names, which the queries on q_candidates leave out as their SQL does."""
+    l, r = normalised(spark, d)
+    return blocking.candidates(l, [r], "v3")
+
+
+@query("with " + q_all_candidates(None, "v1", 10) + " select source1_entity_id, source2_entity_id from cand")
+def candidates_all_passes_v1(spark, d):
+    l, r = normalised(spark, d, "v1")
+    return blocking.candidates(l, [r], "v1")
+
+
 _TFIDF_PAIR = "select source1_entity_id, source2_entity_id, coalesce(sum(x.w * y.w), 0) as c from cand left join w x on x.id = concat('1', source1_entity_id) left join w y on y.id = concat('2', source2_entity_id) and x.gram = y.gram group by 1, 2"
 _CORPUS = "select concat('1', entity_id) as id, business_name as name from s1 where entity_id in (select source1_entity_id from cand) union all select concat('2', entity_id), business_name from s2 where entity_id in (select source2_entity_id from cand)"
 
@@ -583,7 +605,7 @@ def pair_features_v3(spark, d):
 @query()
 def pair_features_v3_full(spark, d):
     l, r = normalised(spark, d)
-    return _rounded(pairs.features(blocking.candidates(l, [r], "v3", names=False), l, r, "v3"))
+    return _rounded(pairs.features(blocking.candidates(l, [r], "v3"), l, r, "v3"))
 
 
 @query(CAND + " select source1_entity_id, source2_entity_id, (o_orderkey is not null)::int as label from cand left join orders on concat('c', o_custkey) = source1_entity_id and concat('o', o_orderkey) = source2_entity_id")
@@ -669,9 +691,9 @@ def truth_aware_sample(spark, d):
 
 @query()
 def er_end_to_end(spark, d):
-    """Candidates, v3 features, the rule score and matching results: the flagship plan."""
+    """Candidates of all passes, v3 features, the rule score and matching results: the flagship plan."""
     l, r = normalised(spark, d)
-    found = blocking.candidates(l, [r], "v3", names=False)
+    found = blocking.candidates(l, [r], "v3")
     return submission.matching_results(er.rule_score(pairs.features(found, l, r, "v3", substring=False, cosine=False)), l, 0.6)
 
 

@@ -53,3 +53,12 @@ def test_entry(spark):
     df = e.entry(spark)
     assert df.columns == ["source1_entity_id", "matched_entity_ids"] and df.where("matched_entity_ids <> ''").count() > 0
     assert set(e.oracle_sql()) <= set(e.queries())
+
+
+def test_end_to_end_and_full_features_use_all_passes(spark):
+    """Orders without a country share no key with their customer: only similar names find them."""
+    every = {tuple(r) for r in catalog.candidates_all_passes(spark, SF).select("source1_entity_id", "source2_entity_id").collect()}
+    assert every > {tuple(r) for r in catalog.candidates_union(spark, SF).select("source1_entity_id", "source2_entity_id").collect()}
+    assert {(r.source1_entity_id, r.source2_entity_id) for r in catalog.pair_features_v3_full(spark, SF).collect()} == every
+    found = [x for r in catalog.er_end_to_end(spark, SF).collect() for x in r.matched_entity_ids.split(",") if x]
+    assert any(int(x[1:]) % 11 == 0 for x in found)
