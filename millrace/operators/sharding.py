@@ -6,7 +6,6 @@ from fractions import Fraction
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import IntegerType
 
 
 def _md5_number(value: Column) -> Column:
@@ -119,22 +118,47 @@ def hash_folds(df: DataFrame, group: str, folds: int) -> DataFrame:
     return df.withColumn("fold", shard_of(group, folds))
 
 
-def balanced_folds(df: DataFrame, group: str, folds: int, most_groups: int = 1_000_000) -> DataFrame:
-    """df with `fold`: the largest group goes to the lightest fold. Greedy on the driver, so over most_groups groups (checked) hash_folds takes over."""
-    sizes = df.groupBy(group).agg(F.count(F.lit(1)).alias("c"))
-    if sizes.count() > most_groups:
-        return hash_folds(df, group, folds)
-    import heapq
-
-    rows = sizes.orderBy(F.desc("c"), group).collect()
-    heap = [(0, i) for i in range(min(folds, max(1, len(rows))))]
-    out = []
-    for r in rows:
-        load, i = heapq.heappop(heap)
-        out.append((r[group], i))
-        heapq.heappush(heap, (load + r["c"], i))
-    table = df.sparkSession.createDataFrame(out, df.select(group).schema.add("fold", IntegerType()))
-    return df.join(table, group)
+def _deal(loads: list[int], size: int, n: int) -> list[tuple[int, int, list[int]]]:
+    """Deals n groups of one size to the lightest fold each, ties by number, and adds to the loads: (first rank, rank after the
+    last, folds in turn). The folds that are lighter than the lightest's next load take turns until another fold is as light,
+    so there are at most as many parts as folds."""
+    out, at = [], 0
+    while at < n:
+        order = sorted((load, i) for i, load in enumerate(loads))
+        turn = [x for x in order if x < (order[0][0] + size, order[0][1])]
+        left, (last, i) = n - at, turn[-1]
+        if len(turn) < len(order):
+            more, k = order[len(turn)]
+            rounds = (more - last) // size + 1 - ((more - last) % size == 0 and i > k)
+            left = min(left, rounds * len(turn))
+        for place, (_, f) in enumerate(turn):
+            loads[f] += size * (left // len(turn) + (place < left % len(turn)))
+        out.append((at, at + left, [f for _, f in turn]))
+        at += left
+    return out
+
+
+def balanced_folds(df: DataFrame, group: str, folds: int) -> DataFrame:
+    """df with `fold`: the largest group goes to the lightest fold, ties by group and by fold, at any number of groups.
+
+    The driver holds the distinct sizes, not the groups: groups of one size are dealt by their rank. Ranks are counted in
+    slices of the groups' order, so no task ranks all groups of a size."""
+    sizes = df.groupBy(group).agg(F.count(F.lit(1)).alias("_c"))
+    counts = [(r[0], r[1]) for r in sizes.groupBy("_c").agg(F.count(F.lit(1))).orderBy(F.desc("_c")).collect()]  # one row per distinct size
+    n = sum(x for _, x in counts)
+    loads = [0] * min(folds, max(1, n))
+    plan = [(c, *x) for c, k in counts for x in _deal(loads, c, k)]
+    table = df.sparkSession.createDataFrame(plan, "_c long, _from long, _to long, _turn array<int>")
+    few = sorted(r[0] for r in sizes.where(F.col(group).isNotNull()).select(group).sample(min(1.0, 2000 / max(1, n)), seed=1).collect())  # about 2,000 groups
+    step = max(1, len(few) // int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    bounds = F.array(*(F.lit(x).cast(df.schema[group].dataType) for x in few[step::step])).cast(f"array<{df.select(group).schema[0].dataType.simpleString()}>")
+    sliced = sizes.withColumn("_s", F.coalesce(F.size(F.filter(bounds, lambda x: x <= F.col(group))), F.lit(-1)))
+    before = sliced.groupBy("_c", "_s").agg(F.count(F.lit(1)).alias("_n"))
+    before = before.withColumn("_before", F.sum("_n").over(Window.partitionBy("_c").orderBy("_s")) - F.col("_n")).drop("_n")
+    ranked = sliced.withColumn("_r", F.row_number().over(Window.partitionBy("_c", "_s").orderBy(group)) - 1)
+    ranked = ranked.join(before, ["_c", "_s"]).withColumn("_r", F.col("_r") + F.col("_before"))
+    dealt = ranked.join(table, "_c").where("_r >= _from and _r < _to").select(group, F.expr("_turn[cast((_r - _from) % size(_turn) as int)]").alias("fold"))
+    return df.join(dealt, group)
 
 
 def sample_rows(df: DataFrame, id_column: str, count: int, seed: int = 42) -> DataFrame:

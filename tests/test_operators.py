@@ -1,5 +1,6 @@
 import datetime
 import json
+import random
 
 import pytest
 from pyspark.sql import functions as F
@@ -44,6 +45,21 @@ def test_splits(spark):
     assert folds.select("grp", "fold").distinct().count() == 4 and folds.select("fold").distinct().count() == 3
 
 
+def test_balanced_folds_are_greedy_at_any_number_of_groups(spark):
+    r = random.Random(4)
+    for folds, sizes in ((3, [r.choice([1, 1, 2, 3, 7, 40]) for _ in range(150)]), (5, [90, *[2] * 30, *[1] * 101]), (4, [1, 1])):
+        loads, want = [0] * min(folds, len(sizes)), {}
+        for c, g in sorted(((c, f"g{i:03}") for i, c in enumerate(sizes)), key=lambda x: (-x[0], x[1])):
+            want[g] = loads.index(min(loads))
+            loads[want[g]] += c
+        rows = spark.createDataFrame([(f"g{i:03}",) for i, c in enumerate(sizes) for _ in range(c)], "grp string")
+        got = sharding.balanced_folds(rows, "grp", folds).collect()
+        assert len(got) == sum(sizes) and {(x.grp, x.fold) for x in got} == set(want.items())
+    many = spark.range(1_200_000).selectExpr("if(id < 200000, -1, id) as grp")  # 1,000,001 groups, one of 200,000 rows
+    got = {x.fold: x["count"] for x in sharding.balanced_folds(many, "grp", 5).groupBy("fold").count().collect()}
+    assert sum(got.values()) == 1_200_000 and max(got.values()) - min(got.values()) <= 1
+
+
 def test_split_counts_are_exact_for_any_fraction(spark):
     df = items(spark, 97)
     for f in (0.01, 0.1, 0.33, 0.5, 0.99):
