@@ -9,7 +9,8 @@ The items' fingerprints and words are broadcast in blocks of BLOCK_WORDS words,
 documents per block, so what is broadcast has a fixed bound whatever the benchmark's size, and no document is shuffled.
 
 Defined results: a null or empty text has no words, hits or items; an item without words never occurs; repeated item
-ids count once in a document's items; repeated doc_ids keep a row each; other columns are ignored.
+ids count once in a document's items; items without an id are hit like others, together count as one item (a null in
+`items`, the last) and only items_sha256 leaves them out; repeated doc_ids keep a row each; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -148,12 +149,12 @@ def _scan(block, last: bool, dropped: tuple[str, ...]):
             for a, m, i, d in zip(first.tolist(), n.tolist(), item.tolist(), doc[first].tolist(), strict=True):
                 spans[d] += [a - int(base[d]), m]
                 names[d].add(items.ids[i])
-            cols = {"spans": pa.array(spans, pa.list_(pa.int64())), "items": pa.array([sorted(x) for x in names], pa.list_(pa.string())), "n_words": pa.array(counts, pa.int64())}
+            cols = {"spans": pa.array(spans, pa.list_(pa.int64())), "items": pa.array([_sorted(x) for x in names], pa.list_(pa.string())), "n_words": pa.array(counts, pa.int64())}
             if last:
                 hits = [_covered(x) for x in spans]
                 cols |= {
                     "n_hit": pa.array(hits, pa.int64()), "n_items": pa.array([len(x) for x in names], pa.int64()),
-                    "items_sha256": pa.array([hashlib.sha256(",".join(sorted(x)).encode()).hexdigest() for x in names]),
+                    "items_sha256": pa.array([hashlib.sha256(",".join(sorted(x - {None})).encode()).hexdigest() for x in names]),
                     "contaminated": pa.array([h > 0 for h in hits]),
                 }
             keep = [f.name for f in rows.schema if f.name not in cols and not (last and f.name in dropped)]
@@ -162,6 +163,10 @@ def _scan(block, last: bool, dropped: tuple[str, ...]):
     return run
 
 
+def _sorted(ids: set[str | None]) -> list[str | None]:
+    return sorted(ids - {None}) + [None] * (None in ids)
+
+
 def _covered(spans: list[int]) -> int:
     total, stop = 0, 0
     for a, n in sorted(zip(spans[::2], spans[1::2], strict=True)):
@@ -183,7 +188,7 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, span: int = SPAN, k: in
         ids, texts, have = [], [], 0
 
     # Items pass through the driver one partition at a time, a block is what is held at once.
-    for row in benchmark.select(F.col("item_id").cast("string"), F.coalesce("text", F.lit(""))).where("item_id is not null").toLocalIterator():
+    for row in benchmark.select(F.col("item_id").cast("string"), F.coalesce("text", F.lit(""))).toLocalIterator():
         ids.append(row[0])
         texts.append(row[1])
         have += len(row[1]) // 4 + 1

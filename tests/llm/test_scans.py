@@ -74,6 +74,25 @@ def test_winnowing_matches_brute_force(spark):
     assert not any(x.contaminated for x in winnowing.decontaminate(frame(spark, texts), bench.limit(0)).collect())
 
 
+def test_winnowing_hits_items_without_an_id(spark, tmp_path):
+    import duckdb
+
+    from millrace.llm import oracles
+
+    long = " ".join(f"w{i}" for i in range(12))
+    bench = spark.createDataFrame([(None, long), (None, "lone words"), ("a", "other words"), ("b", long + " w12")], "item_id string, text string")
+    docs = frame(spark, [f"x {long} y", "some lone words", "other words and lone words", "nothing", None])
+    docs.write.parquet(f"{tmp_path}/documents"), bench.write.parquet(f"{tmp_path}/benchmark")
+    con = duckdb.connect()
+    for name in ("documents", "benchmark"):
+        con.execute(f"create view {name} as select * from '{tmp_path}/{name}/*.parquet'")
+    want = set(con.execute(oracles.OP5).fetchall())
+    for block in (1_000_000, 1):
+        got = winnowing.decontaminate(docs, bench, block_words=block).collect()
+        assert {(x.doc_id, x.n_words, x.n_hit, x.n_items, x.items_sha256, x.contaminated) for x in got} == want
+        assert [(x.contaminated, x["items"]) for x in sorted(got, key=lambda x: x.doc_id)] == [(True, ["b", None]), (True, [None]), (True, ["a", None]), (False, []), (False, [])]
+
+
 @pytest.mark.parametrize("rows", [1, 7, 500])
 def test_merkle(spark, rows, monkeypatch):
     monkeypatch.setattr(merkle, "RANGE_ROWS", 3)
