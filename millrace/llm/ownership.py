@@ -2,7 +2,7 @@
 
 Every text is scanned for three base kinds (assign, access, hex) and for random-looking tokens. Each candidate's value
 is hashed; the hashes are aggregated over the corpus by distinct owners and repositories. A value that several owners
-hold is a widely copied example; a value of one owner, with the entropy of a random string, looks live. Random-looking
+hold, or that EXAMPLE_REPOS repositories of one owner hold, is a widely copied example; another value of one owner, with the entropy of a random string, looks live. Random-looking
 tokens outside the base spans are reported as spans of kind `live` only if they are owner-specific.
 
 Defined results: a null or empty text has no spans; a null owner or repository counts as one of its own; repeated
@@ -33,6 +33,8 @@ MIN_ENTROPY = 3.0
 TOKEN_ENTROPY = 3.8
 #: Owners from which a value is a widely copied example.
 EXAMPLE_OWNERS = 2
+#: Repositories from which a value is one, even of a single owner; in two an owner may share its own secret.
+EXAMPLE_REPOS = 3
 
 
 def entropy(s: str) -> float:
@@ -90,8 +92,9 @@ def ownership(cands: DataFrame) -> DataFrame:
     return cands.groupBy("h", "owner", "repo").agg(F.count(F.lit(1)).alias("n")).groupBy("h").agg(F.countDistinct("owner").alias("owners"), F.countDistinct("owner", "repo").alias("repos"), F.sum("n").alias("uses"))
 
 
-def scan(docs: DataFrame, owner: str = "source", repo: str = "lang", example_owners: int = EXAMPLE_OWNERS) -> DataFrame:
-    """Per document: base counts and digest, spans, n_live (owner-specific, random-looking) and n_example.
+def scan(docs: DataFrame, owner: str = "source", repo: str = "lang", example_owners: int = EXAMPLE_OWNERS, example_repos: int = EXAMPLE_REPOS) -> DataFrame:
+    """Per document: base counts and digest, spans, n_live (owner-specific, random-looking) and n_example; max_owners, max_repos
+    and max_uses: the most owners, repositories and uses of one of its values, 0 without any.
 
     owner: the column that names the owner; a repository is an owner's value of `repo`."""
     where = shared_dir(docs.sparkSession)
@@ -100,14 +103,17 @@ def scan(docs: DataFrame, owner: str = "source", repo: str = "lang", example_own
     rows = materialise(rows.withColumn("row", F.monotonically_increasing_id()), where, "scanned")
     flat = rows.where("size(cands) > 0").select("row", "owner", "repo", F.explode("cands").alias("c")).select("row", "owner", "repo", "c.*")
     seen = ownership(flat.select("h", "owner", "repo"))
-    judged = flat.join(seen, "h").withColumn("live", F.col("random") & (F.col("owners") < example_owners))
+    judged = flat.join(seen, "h").withColumn("example", (F.col("owners") >= example_owners) | (F.col("repos") >= example_repos))
+    judged = judged.withColumn("live", F.col("random") & ~F.col("example"))
     per_row = judged.groupBy("row").agg(
         F.sum(F.col("live").cast("long")).alias("n_live"),
-        F.sum((F.col("owners") >= example_owners).cast("long")).alias("n_example"),
+        F.sum(F.col("example").cast("long")).alias("n_example"),
         F.collect_list(F.when((F.col("kind") < 3) | F.col("live"), F.struct("start", "kind", "end"))).alias("s"),
+        *(F.max(c).alias(f"max_{c}") for c in ("owners", "repos", "uses")),
     )
     text = F.expr("array_join(transform(array_sort(s), x -> concat_ws(':', element_at(array('assign', 'access', 'hex', 'live'), x.kind + 1), x.start, x.end)), ',')")
     return rows.join(per_row, "row", "left").select(
         "doc_id", "n_assign", "n_access", "n_hex", "base_sha256", F.coalesce(text, F.lit("")).alias("spans"),
         F.coalesce("n_live", F.lit(0)).alias("n_live"), F.coalesce("n_example", F.lit(0)).alias("n_example"),
+        *(F.coalesce(c, F.lit(0)).alias(c) for c in ("max_owners", "max_repos", "max_uses")),
     )

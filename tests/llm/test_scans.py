@@ -42,6 +42,13 @@ def test_ownership_separates_examples_from_live(spark):
     assert ownership.scan(rows.limit(0)).count() == 0
 
 
+def test_value_in_many_repositories_of_one_owner_is_an_example(spark):
+    copied, own = "Ab3dEf6hIj9lMn2pQr5t", "Zx9Kq27TbLm4VwR8yNc3"
+    rows = spark.createDataFrame([(i, f"{copied} {own if i < 2 else ''}", lang, "a") for i, lang in enumerate(("en", "de", "fr", "fr"))] + [(4, "none", "en", "a")], "doc_id long, text string, lang string, source string")
+    got = {r.doc_id: (r.n_live, r.n_example, r.max_owners, r.max_repos, r.max_uses) for r in ownership.scan(rows).collect()}
+    assert got == {0: (1, 1, 1, 3, 4), 1: (1, 1, 1, 3, 4), 2: (0, 1, 1, 3, 4), 3: (0, 1, 1, 3, 4), 4: (0, 0, 0, 0, 0)}
+
+
 def test_pii_base_spans(spark):
     texts = tricky()
     got = {r.doc_id: (r.n_email, r.n_ip, r.n_card, r.n_phone, r.base_sha256) for r in pii.find(frame(spark, texts)).collect()}
