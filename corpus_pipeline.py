@@ -1,13 +1,13 @@
 """A training-data pipeline of five stages, each one of the llm operators.
 
 Every stage takes (spark, docs, sf_dir) and returns a DataFrame that is written as Parquet and read again as the next
-one's docs. All but the last return the columns of `documents`. Nulls: a null text counts as empty; a row without
-a doc_id goes at the near-duplicate stage; of rows with the same doc_id that stage keeps one. An empty table gives none.
+one's docs. All but the last return the columns of `documents`. Nulls: a null text counts as empty. At the near-duplicate
+stage each row is a document of its own, also without a doc_id or with another's. An empty table gives none.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from millrace.llm import nbsvm, packing, parity_join, pii, winnowing
@@ -25,14 +25,12 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each component of the Jaccard join stays: the one with the smallest doc_id. Documents without words stay."""
-    found = parity_join.similar(docs.select("doc_id", "text"), k=5, num=80, den=100)
-    keep = found.where("doc_id = component_id").select("doc_id").distinct()
-    out = docs.select(*COLUMNS).join(keep, "doc_id", "left_semi")
-    if not docs.groupBy("doc_id").count().where("count > 1").isEmpty():
-        first = Window.partitionBy("doc_id").orderBy("text", "lang", "source", "n_chars")
-        out = out.withColumn("_n", F.row_number().over(first)).where("_n = 1")
-    return out.select(*COLUMNS)
+    """One row of each component of the Jaccard join stays: the one with the smallest doc_id, rows without one last. Documents without words stay."""
+    rows = materialise(docs.select(*COLUMNS).withColumn("_row", F.monotonically_increasing_id()), shared_dir(spark), "rows")
+    found = parity_join.similar(rows.select(F.col("_row").alias("doc_id"), "text"), k=5, num=80, den=100).select(F.col("doc_id").alias("_row"), "component_id")
+    order = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", F.xxhash64("text", "lang", "source", "n_chars").alias("hash"), "_row")
+    keep = found.join(rows.select("_row", order.alias("_o")), "_row").groupBy("component_id").agg(F.min("_o").alias("_o")).select("_o._row")
+    return rows.join(keep, "_row", "left_semi").select(*COLUMNS)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -74,3 +74,11 @@ def test_empty(spark, tmp_path):
     for _, stage in cp.STAGES:
         docs = cp.materialise(stage(spark, docs, SF), str(tmp_path), "x" + _)
         assert docs.count() == 0
+
+
+def test_near_duplicates_keep_unlike_texts_of_one_id_and_rows_without_an_id(spark):
+    one, two, three = (" ".join(f"{c}{i}" for i in range(40)) for c in "abc")
+    rows = [(1, one), (2, one), (2, two), (None, three), (None, three), (None, two), (3, None)]
+    docs = spark.createDataFrame([(i, t, "en", "s", 1) for i, t in rows], "doc_id long, text string, lang string, source string, n_chars long")
+    got = [(r.doc_id, r.text) for r in cp.near_duplicates(spark, docs, SF).collect()]
+    assert sorted(got, key=str) == sorted([(1, one), (2, two), (None, three), (3, None)], key=str)
