@@ -92,39 +92,88 @@ def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
-#: Slots of a bit map of long values: 8 MB.
-MAP_BITS = 26
+#: Slots of a bit map for each value in it, and the most values it is made for (2 ** 28 bits, 32 MB).
+SLOTS_EACH = 16
+MAP_VALUES = 1 << 24
 
 
-def _marks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Parts of the bit map of doc_ids: (part, bits). A task's rows hold whole parts."""
+def _slots(values: np.ndarray, bits: int) -> np.ndarray:
+    return (mix(values.astype(np.int64).view(np.uint64) + np.uint64(9)) >> np.uint64(64 - bits)).astype(np.int64)
+
+
+def _marks(bits: int):
+    """Parts of the bit map of the first column's values: (part, bits of 2 ** 16 slots)."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        parts: dict[int, np.ndarray] = {}
+        for b in batches:
+            slots = np.unique(_slots(b.column(0).to_numpy(zero_copy_only=False), bits))
+            part = slots >> 16
+            cut = np.append(np.flatnonzero(np.diff(part, prepend=-1)), len(part)).tolist()
+            for lo, hi in zip(cut[:-1], cut[1:], strict=True):
+                parts.setdefault(int(part[lo]), np.zeros(1 << 16, bool))[slots[lo:hi] & 0xFFFF] = True
+        yield pa.RecordBatch.from_arrays([pa.array(list(parts), pa.int32()), pa.array([np.packbits(p, bitorder="little").tobytes() for p in parts.values()], pa.binary())], ["part", "bits"])
+
+    return run
+
+
+def _joined_marks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     parts: dict[int, np.ndarray] = {}
     for b in batches:
-        for slot in np.unique(b.column(b.schema.get_field_index("slot")).to_numpy()).tolist():
-            parts.setdefault(slot >> 16, np.zeros(1 << 13, np.uint8))[(slot & 0xFFFF) >> 3] |= 1 << (slot & 7)
+        for part, bits in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
+            have = parts.setdefault(part, np.zeros(1 << 13, np.uint8))
+            have |= np.frombuffer(bits, np.uint8)
     yield pa.RecordBatch.from_arrays([pa.array(list(parts), pa.int32()), pa.array([p.tobytes() for p in parts.values()], pa.binary())], ["part", "bits"])
 
 
-def _slots(values: np.ndarray) -> np.ndarray:
-    return (mix(values.astype(np.int64).view(np.uint64) + np.uint64(9)) >> np.uint64(64 - MAP_BITS)).astype(np.int64)
+class Marks:
+    """A broadcast bit map of long values; one of no bits passes all."""
 
+    def __init__(self, held, bits: int):
+        self.held, self.bits = held, bits
+
+    def has(self, values: np.ndarray) -> np.ndarray:
+        """Whether each value may be in the map; one in SLOTS_EACH of the others, too."""
+        if not self.bits:
+            return np.ones(len(values), bool)
+        at, s = np.frombuffer(self.held.value, np.uint8), _slots(values, self.bits)
+        return (at[s >> 3] >> (s & 7).astype(np.uint8) & 1).astype(bool)
+
+
+def bit_map(values: DataFrame) -> Marks:
+    """Of the values of a long column without nulls: SLOTS_EACH bits a value; over MAP_VALUES values (counted) a map that passes all."""
+    n, spark = values.count(), values.sparkSession
+    if n > MAP_VALUES:
+        return Marks(None, 0)
+    bits = max(16, (SLOTS_EACH * n).bit_length())
+    parts = values.mapInArrow(_marks(bits), "part int, bits binary").repartition(16, "part").mapInArrow(_joined_marks, "part int, bits binary").collect()  # 2 ** bits bits
+    marks = bytearray(1 << (bits - 3))
+    for part, got in parts:
+        marks[part << 13 : (part + 1) << 13] = bytes(got)
+    return Marks(spark.sparkContext.broadcast(bytes(marks)), bits)
+
+
+def _passing(marks: Marks, place: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            yield b.filter(pa.array(marks.has(b.column(place).to_numpy(zero_copy_only=False))))
+
+    return run
 
-def _add_slot(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for b in batches:
-        s = _slots(b.column(0).to_numpy(zero_copy_only=False))
-        yield pa.RecordBatch.from_arrays([pa.array(s.astype(np.int32)), pa.array((s >> 16).astype(np.int32))], ["slot", "part"])
 
+def only(rows: DataFrame, values: DataFrame, column: str) -> DataFrame:
+    """At least the rows whose `column` (a long, never null) is in `values`, and few others: what the caller joins exactly afterwards.
 
-def bit_map(values: DataFrame):
-    """A broadcast bit map of the values of a long column: 2 ** MAP_BITS bits, whatever their number."""
-    parts = values.mapInArrow(_add_slot, "slot int, part int").repartition(16, "part").mapInArrow(_marks, "part int, bits binary").collect()
-    marks = bytearray(1 << (MAP_BITS - 3))
-    for part, bits in parts:
-        marks[part << 13 : (part + 1) << 13] = bytes(bits)
-    return values.sparkSession.sparkContext.broadcast(bytes(marks))
+    Up to MAP_VALUES values go out as a bit map, so rows need not move; more are joined."""
+    values = values.select(column)
+    marks = bit_map(values)
+    if not marks.bits:
+        return rows.join(values.distinct(), column, "left_semi")
+    return rows.mapInArrow(_passing(marks, rows.columns.index(column)), rows.schema)
 
 
-def marked(batch: pa.RecordBatch, column: str, marks) -> pa.RecordBatch:
-    """Rows that the bit map may hold; false marks are few until it fills up, and cost only time."""
-    bits, s = np.frombuffer(marks.value, np.uint8), _slots(int_column(batch, column))
-    return batch.filter(pa.array((bits[s >> 3] >> (s & 7).astype(np.uint8) & 1).astype(bool)))
+def discard(spark: SparkSession, where: str, names: list[str]) -> None:
+    """Removes intermediate tables that nothing reads any more."""
+    for name in names:
+        path = spark._jvm.org.apache.hadoop.fs.Path(f"{where}/{name}")
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)

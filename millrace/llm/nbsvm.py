@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm.common import bit_map, int_column, marked, materialise, shared_dir, slices
+from millrace.llm.common import int_column, materialise, only, shared_dir, slices
 from millrace.llm.hashing import SPACED, gram_hashes, mix, word_bounds, word_hashes
 
 BITS = 18
@@ -202,13 +202,7 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "quality", mod: int = 3
         cuts[c] = -(2**63) if top is None else top
     train = train.withColumn("chosen", F.col("rank") <= F.when(F.col("label") == 1, F.lit(cuts[1])).otherwise(F.lit(cuts[0])))
     # Texts without a training label stay where they are: a bit map of the labelled ids tells nearly all of them.
-    labelled = bit_map(train.select("doc_id"))
-
-    def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            yield marked(b, "doc_id", labelled)
-
-    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).mapInArrow(keep, "doc_id long, text string")
+    texts = only(docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(-(2**63))).alias("doc_id"), F.col("text").cast("string").alias("text")), train, "doc_id")
     known = texts.join(train, "doc_id").select("text", "label", "rank", "chosen")
     where = shared_dir(spark)
     counted = materialise(known.mapInArrow(_count, "kind int, data binary, place long"), where, "counts")

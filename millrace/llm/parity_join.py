@@ -11,13 +11,16 @@ segments; a set with fewer empty segments than that shares a non-empty one. Sets
 keys too, which finds the pairs in which both are such. So no similar pair is lost.
 
 Verification. Within a group of equal keys the sets' short bit sketches rule out nearly all dissimilar pairs by their Hamming
-distance; a spanning forest of the rest (not all pairs) is verified on the whole shingle sets; links make components;
-then pairs between different components in a group are verified, best first and ever more of them, until none is left.
-Equal sets are one node from the start. Groups over GROUP nodes are dealt out as pairs of blocks.
+distance. Where few pairs are left, all are verified on the whole shingle sets and the group is done with; else a spanning
+forest is verified, and then, in rounds over the groups still open, pairs between different components, best first and ever
+more of them, until none is left. Equal sets are one node from the start. A group over GROUP nodes is dealt out to blocks that
+share a few nodes; only nodes outside its largest component are then compared across blocks. Sketches are made of the nodes
+in groups only, whole sets of the nodes in pairs only.
 
 Defined results: A-Z count as a-z; a text of fewer than k words is one shingle; a null or blank text has no shingles, size 0,
 and is linked with nothing, its component being itself; repeated doc_ids fall in one component (equal texts) or are
-linked only if similar; a row without a doc_id is left out; an empty table gives no rows; other columns are ignored. Shingles are compared by 54-bit hashes, sets by
+linked only if similar; rows without a doc_id (or with the least long) are documents, too, return null as doc_id and never name a
+component: one of such rows only has a null component_id; an empty table gives no rows; other columns are ignored. Shingles are compared by 54-bit hashes, sets by
 a 64-bit digest.
 """
 
@@ -31,14 +34,18 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm.common import bit_map, int_column, marked, materialise, shared_dir, shuffle_partitions, slices
+from millrace.llm.common import discard, int_column, materialise, only, shared_dir, shuffle_partitions, slices
 from millrace.llm.components import components
 from millrace.llm.hashing import SPACED, gram_hashes, mix, sequence_hash, word_bounds, word_hashes
 
 #: Nodes of a key group that one task compares at once; a larger group is dealt out as pairs of blocks of half as many.
 GROUP = 2048
-#: Groups up to this size send all pairs that pass the sketches; larger ones a spanning forest.
-SMALL = 8
+#: A block sends all pairs that pass the sketches if there are at most this many per node, else a spanning forest.
+FEW = 4
+#: Nodes that all blocks of a large group share in the first round.
+TIES = 16
+#: Stands for a missing doc_id.
+NO_ID = -(2**63)
 #: How much more pairs of two components each further round verifies.
 GROWTH = 16
 #: Keys a task gathers before it sends them by bucket.
@@ -136,7 +143,9 @@ def _nodes(k: int):
     return run
 
 
-_BUCKET_SCHEMA = "bucket int, keys binary, at binary, nodes binary, sizes binary"
+_BUCKET_SCHEMA = "bucket int, keys binary, at binary, nodes binary"
+#: Bytes of a key that are sent: with the bucket, enough to tell keys apart; equal ones by chance are a candidate more.
+KEY_BYTES = 6
 
 
 def _keys(k: int, bands: Bands, buckets: int):
@@ -149,28 +158,24 @@ def _keys(k: int, bands: Bands, buckets: int):
             base = np.cumsum([0, *(len(m[2]) for m in made)])
             keys = np.concatenate([m[0] for m in made])
             at = np.concatenate([m[1] + b * 2 for m, b in zip(made, base, strict=False)])  # place * 2 + role
-            nodes, sizes = np.concatenate([m[2] for m in made]), np.concatenate([m[3] for m in made])
+            nodes = np.concatenate([m[2] for m in made])
             # Equal sets of other slices go here, too: one row per (key, node, role).
             _, first, back = np.unique(nodes, return_index=True, return_inverse=True)
-            at = (first[back][at >> 1] << 1) | (at & 1)
-            keep = first[back][np.arange(len(nodes))] == np.arange(len(nodes))
-            ok = np.ones(len(keys), bool)
-            if not keep.all():
-                owner = np.concatenate([(m[1] >> 1) + b for m, b in zip(made, base, strict=False)])
-                ok = keep[owner]
-            keys, at = keys[ok], at[ok]
+            keep = first[back][at >> 1] == at >> 1
+            keys, at = keys[keep], at[keep]
             bucket = (keys >> np.uint64(40)).astype(np.int64) % buckets
             by = np.argsort(bucket, kind="stable")
             keys, at, bucket = keys[by], at[by], bucket[by]
             cut = np.flatnonzero(np.diff(bucket, prepend=-1))
-            rows: list[list] = [[] for _ in range(5)]
+            short = np.ascontiguousarray(keys.astype("<u8")).view(np.uint8).reshape(-1, 8)[:, :KEY_BYTES]
+            rows: list[list] = [[] for _ in range(4)]
             for lo, hi in zip(cut.tolist(), [*cut[1:].tolist(), len(bucket)], strict=True):
                 own, back = np.unique(at[lo:hi] >> 1, return_inverse=True)
                 local = (back << 1) | (at[lo:hi] & 1)
-                for r, v in zip(rows, (int(bucket[lo]), keys[lo:hi].astype("<u8").tobytes(), local.astype("<u4" if len(own) > 30000 else "<u2").tobytes(), nodes[own].astype("<i8").tobytes(), sizes[own].astype("<i4").tobytes()), strict=True):
+                for r, v in zip(rows, (int(bucket[lo]), short[lo:hi].tobytes(), local.astype("<u4" if len(own) > 30000 else "<u2").tobytes(), nodes[own].astype("<i8").tobytes()), strict=True):
                     r.append(v)
             made, have = [], 0
-            return pa.RecordBatch.from_arrays([pa.array(r, t) for r, t in zip(rows, [pa.int32()] + [pa.binary()] * 4, strict=True)], ["bucket", "keys", "at", "nodes", "sizes"])
+            return pa.RecordBatch.from_arrays([pa.array(r, t) for r, t in zip(rows, [pa.int32()] + [pa.binary()] * 3, strict=True)], ["bucket", "keys", "at", "nodes"])
 
         for _, raw, offs in slices(batches, most=1000):
             tokens, sizes = shingle_sets(raw, offs, k)
@@ -186,7 +191,7 @@ def _keys(k: int, bands: Bands, buckets: int):
             k0, o0 = segment_keys(tokens, sizes, band, bands)
             lower = np.flatnonzero(band > 0)
             k1, o1 = segment_keys(tokens[np.repeat(band > 0, sizes)], sizes[lower], band[lower] - 1, bands)
-            made.append((np.concatenate([k0, k1]), np.concatenate([o0 * 2, lower[o1] * 2 + 1]), node, sizes))
+            made.append((np.concatenate([k0, k1]), np.concatenate([o0 * 2, lower[o1] * 2 + 1]), node))
             have += len(k0) + len(k1)
             if have >= FLUSH_KEYS:
                 yield flush()
@@ -200,7 +205,7 @@ def _groups(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Members of each group of two nodes or more under one key; equal groups of a bucket once. Rows come by bucket."""
 
     def close(parts: list[tuple]) -> pa.RecordBatch | None:
-        keys, nodes, sizes, role = (np.concatenate([p[i] for p in parts]) for i in range(4))
+        keys, nodes, role = (np.concatenate([p[i] for p in parts]) for i in range(3))
         by = np.argsort(keys, kind="stable")
         keys = keys[by]
         again = np.zeros(len(keys), bool)
@@ -210,40 +215,39 @@ def _groups(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         by = by[again]  # most keys are alone
         if not len(by):
             return None
-        keys, nodes, sizes, role = keys[again], nodes[by], sizes[by], role[by]
+        keys, nodes, role = keys[again], nodes[by], role[by]
         by = np.lexsort((role, nodes, keys))
-        keys, nodes, sizes, role = keys[by], nodes[by], sizes[by], role[by]
+        keys, nodes, role = keys[by], nodes[by], role[by]
         once = np.ones(len(keys), bool)
         once[1:] = (keys[1:] != keys[:-1]) | (nodes[1:] != nodes[:-1])
-        keys, nodes, sizes, role = keys[once], nodes[once], sizes[once], role[once]
+        keys, nodes, role = keys[once], nodes[once], role[once]
         cut = np.flatnonzero(np.append(True, keys[1:] != keys[:-1]))
         count = np.diff(np.append(cut, len(keys)))
         # A group needs two nodes, one of them of the band itself.
         good = (count > 1) & (np.minimum.reduceat(role, cut) == 0)
         gid = mix(np.add.reduceat(mix(nodes.view(np.uint64) + np.uint64(5)), cut) + count.astype(np.uint64)).view(np.int64)
         pick = np.zeros(len(cut), bool)
-        pick[np.unique(gid, return_index=True)[1]] = True
         # An equal group may stand under a key that is not good; keep a good one.
-        if not good.all():
-            pick[:] = False
-            at = np.flatnonzero(good)
-            pick[at[np.unique(gid[at], return_index=True)[1]]] = True
+        at = np.flatnonzero(good)
+        pick[at[np.unique(gid[at], return_index=True)[1]]] = True
         member = np.repeat(pick, count)
         if not member.any():
             return None
-        return pa.RecordBatch.from_arrays([pa.array(np.repeat(gid, count)[member]), pa.array(nodes[member]), pa.array(sizes[member].astype(np.int64))], ["gid", "node", "n"])
+        return pa.RecordBatch.from_arrays([pa.array(np.repeat(gid, count)[member]), pa.array(nodes[member])], ["gid", "node"])
 
     now, parts = None, []
     for b in batches:
-        for bucket, keys, at, nodes, sizes in zip(*(b.column(i).to_pylist() for i in range(5)), strict=True):
+        for bucket, keys, at, nodes in zip(*(b.column(i).to_pylist() for i in range(4)), strict=True):
             if bucket != now and parts:
                 if (out := close(parts)) is not None:
                     yield out
                 parts = []
             now = bucket
-            keys, nodes, sizes = np.frombuffer(keys, "<u8"), np.frombuffer(nodes, "<i8"), np.frombuffer(sizes, "<i4")
+            nodes, short = np.frombuffer(nodes, "<i8"), np.frombuffer(keys, np.uint8).reshape(-1, KEY_BYTES)
             at = np.frombuffer(at, "<u4" if len(nodes) > 30000 else "<u2").astype(np.int64)
-            parts.append((keys, nodes[at >> 1], sizes[at >> 1], at & 1))
+            keys = np.zeros((len(short), 8), np.uint8)
+            keys[:, :KEY_BYTES] = short
+            parts.append((keys.view("<u8").ravel(), nodes[at >> 1], at & 1))
     if parts and (out := close(parts)) is not None:
         yield out
 
@@ -288,79 +292,87 @@ def _forest(near: np.ndarray) -> list[tuple[int, int]]:
 
 
 def _candidates(bands: Bands, best: int | None):
-    """Pairs to verify in each group. best None: a spanning forest (all pairs in small groups); else of each two components
-    in a group the `best` nearest pairs, unless the round before sent them all. Rows come by gid: gid, node, n, sketch, label."""
-
-    def pairs(node, n, sk, label) -> set[tuple[int, int]]:
-        if best is not None and (len(n) <= SMALL or len(set(label)) < 2):
-            return set()
-        sizes = np.array(n)
-        near = _near(sk, sizes, bands)
-        if best is None:
-            at = list(zip(*np.nonzero(np.triu(near)), strict=True)) if len(n) <= SMALL else _forest(near)
-            return {(min(node[i], node[j]), max(node[i], node[j])) for i, j in at}
+    """Pairs (a, b) to verify in each block, and the groups (open) that have more. best None: all pairs that the sketches let pass
+    if they are few for the block's size, else a spanning forest; later, of each two components in a block the `best` nearest pairs.
+    Rows come by block: block, gid, node, n, sketch, label."""
+
+    def pairs(node, n, sk, label) -> tuple[set[tuple[int, int]], bool]:
         label = np.array(label)
-        i, j = np.nonzero(np.triu(near) & (label[:, None] != label[None, :]))
+        if (label == label[0]).all():
+            return set(), False
+        near = np.triu(_near(sk, np.array(n), bands))
+        near &= label[:, None] != label[None, :]
+        i, j = np.nonzero(near)
+        named = lambda ps: {(min(node[a], node[b]), max(node[a], node[b])) for a, b in ps}
+        if len(i) <= FEW * len(n):
+            return named(zip(i.tolist(), j.tolist(), strict=True)), False
+        if best is None:
+            return named(_forest(near | near.T)), True
         by: dict = {}
         width = min(map(len, sk)) // 8
         for a, b in zip(i.tolist(), j.tolist(), strict=True):
             by.setdefault((min(label[a], label[b]), max(label[a], label[b])), []).append((a, b))
-        out = set()
+        out, more = set(), False
         for ps in by.values():
-            if best > 4 and len(ps) <= best // GROWTH:
-                continue
             if len(ps) > best:
                 far = lambda p: int(np.bitwise_count(_folded(np.frombuffer(sk[p[0]], np.uint64), width) ^ _folded(np.frombuffer(sk[p[1]], np.uint64), width)).sum())
-                ps = sorted(ps, key=lambda p: (far(p), node[p[0]], node[p[1]]))[:best]
-            out |= {(min(node[a], node[b]), max(node[a], node[b])) for a, b in ps}
-        return out
+                ps, more = sorted(ps, key=lambda p: (far(p), node[p[0]], node[p[1]]))[:best], True
+            out |= named(ps)
+        return out, more
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sent: set[tuple[int, int]] = set()
-        now, rows = None, []
-
-        def out(found) -> pa.RecordBatch:
+        now, gid, rows = None, None, []
+
+        def close() -> pa.RecordBatch | None:
+            nonlocal sent
+            found, more = pairs(*zip(*rows, strict=True)) if len(rows) > 1 else (set(), False)
+            found -= sent
+            if not found and not more:
+                return None
+            if len(sent) > 500_000:
+                sent = set()
+            sent |= found
             a = np.array(list(found), np.int64).reshape(-1, 2)
-            return pa.RecordBatch.from_arrays([pa.array(a[:, 0]), pa.array(a[:, 1])], ["a", "b"])
+            none = [None] * len(a)
+            return pa.RecordBatch.from_arrays(
+                [pa.array(a[:, 0].tolist() + [None] * more, pa.int64()), pa.array(a[:, 1].tolist() + [None] * more, pa.int64()), pa.array(none + [gid] * more, pa.int64())], ["a", "b", "open"])
 
         for b in batches:
-            for row in zip(*(b.column(b.schema.get_field_index(c)).to_pylist() for c in ("gid", "node", "n", "sketch", "label")), strict=True):
+            for row in zip(*(b.column(b.schema.get_field_index(c)).to_pylist() for c in ("block", "gid", "node", "n", "sketch", "label")), strict=True):
                 if row[0] != now and rows:
-                    if len(rows) > 1 and (found := pairs(*zip(*rows, strict=True)) - sent):
-                        if len(sent) > 500_000:
-                            sent = set()
-                        sent |= found
-                        yield out(found)
+                    if (out := close()) is not None:
+                        yield out
                     rows = []
-                now = row[0]
-                rows.append(row[1:])
-        if len(rows) > 1 and (found := pairs(*zip(*rows, strict=True)) - sent):
-            yield out(found)
+                now, gid = row[:2]
+                rows.append(row[2:])
+        if rows and (out := close()) is not None:
+            yield out
 
     return run
 
 
-def _only(marks):
+def _sketched(k: int):
+    """Size and sketch of every document's set."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            yield marked(b, "node", marks)
+        for rows, raw, offs in slices(batches, most=1000):
+            tokens, sizes = shingle_sets(raw, offs, k)
+            yield pa.RecordBatch.from_arrays([pa.array(int_column(rows, "doc_id")), pa.array(digests(tokens, sizes)), pa.array(sizes.astype(np.int64)), pa.array(sketches(tokens, sizes), pa.binary())], ["doc_id", "node", "n", "sketch"])
 
     return run
 
 
-def _sets(k: int, marks):
-    """Set and sketch of every document that the bit map may mark."""
+def _sets(k: int):
+    """Every document's set."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for rows, raw, offs in slices(iter([marked(batch, "doc_id", marks)]), most=1000):
-                tokens, sizes = shingle_sets(raw, offs, k)
-                ends = np.cumsum(sizes)
-                data = tokens.astype("<u8").tobytes()
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(int_column(rows, "doc_id")), pa.array(digests(tokens, sizes)), pa.array(sketches(tokens, sizes), pa.binary()), pa.array([data[8 * (e - n) : 8 * e] for e, n in zip(ends.tolist(), sizes.tolist(), strict=True)], pa.binary())],
-                    ["doc_id", "node", "sketch", "tokens"],
-                )
+        for rows, raw, offs in slices(batches, most=1000):
+            tokens, sizes = shingle_sets(raw, offs, k)
+            ends = np.cumsum(sizes)
+            data = tokens.astype("<u8").tobytes()
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(int_column(rows, "doc_id")), pa.array(digests(tokens, sizes)), pa.array([data[8 * (e - n) : 8 * e] for e, n in zip(ends.tolist(), sizes.tolist(), strict=True)], pa.binary())], ["doc_id", "node", "tokens"])
 
     return run
 
@@ -380,60 +392,86 @@ def _verify(num: int, den: int):
     return run
 
 
+def _spread(groups: DataFrame, big: DataFrame) -> DataFrame:
+    """(block, gid, node) of the first round: a small group is a block; a large one is dealt out to blocks of GROUP / 2 nodes, each
+    with the same few nodes besides, spread by hash, that may tie the blocks together."""
+    small = groups.join(big, "gid", "left_anti").select(F.col("gid").alias("block"), "gid", "node")
+    dealt = groups.join(big, "gid").withColumn("k", F.expr(f"cast(ceil(c * 2 / {GROUP}) as int)"))
+    own = dealt.select(F.expr("xxhash64(gid, pmod(xxhash64(node), k))").alias("block"), "gid", "node")
+    ties = dealt.groupBy("gid", "k", F.expr(f"pmod(xxhash64(node, 1), {TIES})")).agg(F.min("node").alias("node"))
+    ties = ties.select(F.explode(F.expr("sequence(0, k - 1)")).alias("i"), "gid", "node").select(F.expr("xxhash64(gid, cast(i as bigint))").alias("block"), "gid", "node")
+    return small.unionByName(own).unionByName(ties).distinct()
+
+
+def _apart(groups: DataFrame, open_: DataFrame, labels: DataFrame) -> DataFrame:
+    """(block, gid, node, label) of the open groups whose nodes are in two components or more. A large group's blocks pair up the
+    nodes outside its largest component with one another and with that component, whose own nodes need no comparing."""
+    rows = groups.join(open_, "gid", "left_semi").join(labels, "node", "left").select("gid", "node", F.coalesce("label", "node").alias("label"))
+    of = rows.groupBy("gid", "label").agg(F.count(F.lit(1)).alias("c")).groupBy("gid").agg(F.count(F.lit(1)).alias("parts"), F.sum("c").alias("c"), F.max(F.struct("c", "label")).alias("most"))
+    of = of.where("parts > 1").select("gid", "c", F.col("most.label").alias("major"), F.expr(f"cast(ceil(most.c * 2 / {GROUP}) as int)").alias("km"), F.expr(f"cast(ceil((c - most.c) * 2 / {GROUP}) as int)").alias("kr"))
+    rows = rows.join(of, "gid")
+    small = rows.where(f"c <= {GROUP}").select(F.col("gid").alias("block"), "gid", "node", "label")
+    # Blocks 0 to kr - 1 hold the rest, blocks kr to kr + km - 1 the largest component.
+    rows = rows.where(f"c > {GROUP}").withColumn("own", F.expr("cast(case when label = major then kr + pmod(xxhash64(node), km) else pmod(xxhash64(node), kr) end as int)"))
+    rows = rows.withColumn("o", F.explode(F.expr("sequence(0, case when label = major then kr - 1 else kr + km - 1 end)")))
+    return small.unionByName(rows.select(F.expr("xxhash64(gid, least(own, o), greatest(own, o))").alias("block"), "gid", "node", "label"))
+
+
 def similar(docs: DataFrame, k: int = 5, num: int = 80, den: int = 100) -> DataFrame:
     """Per document: doc_id, n_shingles, component_id, n_links_found (verified links of its set; a set's other links are implied).
 
     num / den: the least Jaccard similarity of a link."""
     spark, where, bands = docs.sparkSession, shared_dir(docs.sparkSession), Bands(num, den)
     n = shuffle_partitions(spark)
-    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").where("doc_id is not null")
+    texts = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)).alias("doc_id"), "text")
     nodes = materialise(texts.mapInArrow(_nodes(k), "doc_id long, n long, node long"), where, "nodes")
     sent = texts.mapInArrow(_keys(k, bands, 4 * n), _BUCKET_SCHEMA)
-    groups = sent.repartition(n, "bucket").sortWithinPartitions("bucket").mapInArrow(_groups, "gid long, node long, n long").dropDuplicates(["gid", "node"])
+    groups = sent.repartition(n, "bucket").sortWithinPartitions("bucket").mapInArrow(_groups, "gid long, node long").distinct()
     groups = materialise(groups, where, "groups")
     # One document stands for each node that is in a group.
     wanted = nodes.join(groups.select("node").distinct(), "node").groupBy("node").agg(F.min("doc_id").alias("doc_id"))
     wanted = materialise(wanted, where, "wanted")
-    held = bit_map(wanted.select("doc_id"))
-    sets = texts.mapInArrow(_sets(k, held), "doc_id long, node long, sketch binary, tokens binary").join(wanted, ["doc_id", "node"], "left_semi").dropDuplicates(["node"])
-    sets = materialise(sets.select("node", "sketch", "tokens"), where, "sets")
-    # Large groups as pairs of blocks.
-    big = groups.groupBy("gid").agg(F.count(F.lit(1)).alias("c")).where(f"c > {GROUP}")
-    blocks = groups.join(big, "gid", "left").withColumn("k", F.expr(f"cast(ceil(coalesce(c, 0) * 2 / {GROUP}) as int)"))
-    blocks = blocks.withColumn("own", F.expr("case when k > 1 then cast(pmod(node, k) as int) else 0 end")).withColumn("o", F.explode(F.expr("case when k > 1 then sequence(0, k - 1) else array(0) end")))
-    blocks = blocks.select(F.expr("case when k > 1 then xxhash64(gid, least(own, o), greatest(own, o)) else gid end").alias("gid"), "node", "n")
-    blocks = materialise(blocks, where, "blocks")
-    labels, counted, best, turn = None, None, None, 0
+    sketch = only(texts, wanted, "doc_id").mapInArrow(_sketched(k), "doc_id long, node long, n long, sketch binary").join(wanted, ["doc_id", "node"], "left_semi").dropDuplicates(["node"])
+    sketch = materialise(sketch.select("node", "n", "sketch"), where, "sketches")
+    big = materialise(groups.groupBy("gid").agg(F.count(F.lit(1)).alias("c")).where(f"c > {GROUP}"), where, "big")
+    labels, counted, sets, best, turn = None, None, None, None, 0
+    rows = _spread(groups, big).withColumn("label", F.col("node"))
     while True:
-        if labels is None:
-            rows = blocks.withColumn("label", F.col("node"))
-        else:
-            # Groups whose nodes are in one component by now, and small ones, all of whose pairs went, are done with.
-            rows = materialise(blocks.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node")), where, f"labelled{turn}")
-            open_ = rows.groupBy("gid").agg(F.count(F.lit(1)).alias("c"), F.min("label").alias("l"), F.max("label").alias("m")).where(f"c > {SMALL} and l <> m").select("gid")
-            rows = rows.join(open_, "gid", "left_semi")
-        rows = rows.join(sets.select("node", "sketch"), "node").select("gid", "node", "n", "sketch", "label")
-        found = rows.repartition(n, "gid").sortWithinPartitions("gid", "node").mapInArrow(_candidates(bands, best), "a long, b long").distinct()
+        rows = rows.join(sketch, "node").select("block", "gid", "node", "n", "sketch", "label")
+        found = rows.repartition(n, "block").sortWithinPartitions("block", "node").mapInArrow(_candidates(bands, best), "a long, b long, open long").distinct()
         found = materialise(found, where, f"pairs{turn}")
-        if best is not None and found.isEmpty():
+        pairs = found.where("open is null").select("a", "b")
+        # Sets of nodes that no earlier round has fetched.
+        ends = pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node"))).distinct()
+        fetch = materialise(wanted.join(ends if sets is None else ends.join(sets, "node", "left_anti"), "node", "left_semi"), where, f"fetch{turn}")
+        if not fetch.isEmpty():
+            own = only(texts, fetch, "doc_id").mapInArrow(_sets(k), "doc_id long, node long, tokens binary").join(fetch, ["doc_id", "node"], "left_semi").dropDuplicates(["node"]).select("node", "tokens")
+            own = materialise(own, where, f"sets{turn}")
+            sets = own if sets is None else sets.unionByName(own)
+        if sets is not None and not pairs.isEmpty():
+            x, y = sets.select(F.col("node").alias("a"), F.col("tokens").alias("x")), sets.select(F.col("node").alias("b"), F.col("tokens").alias("y"))
+            new = materialise(pairs.join(x, "a").join(y, "b").mapInArrow(_verify(num, den), "a long, b long"), where, f"links{turn}")
+            counted = new if counted is None else counted.unionByName(new)
+            if not new.isEmpty():
+                # Labels so far are stars, so new links only join stars.
+                edges = new if labels is None else new.unionByName(labels.select(F.col("node").alias("a"), F.col("label").alias("b")))
+                labels = components(edges, where, f"components{turn}")
+        if labels is None:
+            labels = spark.createDataFrame([], "node long, label long")
+        # Groups all of whose pairs went are done with; so are, by _apart, those in one component by now.
+        open_ = found.where("open is not null").select(F.col("open").alias("gid"))
+        rows = materialise(_apart(groups, (open_.unionByName(big.select("gid")) if best is None else open_).distinct(), labels), where, f"apart{turn}")
+        if rows.isEmpty():
             break
-        # Only the sets of this round's pairs are shuffled.
-        used = bit_map(found.select("a").unionByName(found.select(F.col("b").alias("a"))))
-        own = materialise(sets.select("node", "tokens").mapInArrow(_only(used), "node long, tokens binary"), where, f"used{turn}")
-        x, y = own.select(F.col("node").alias("a"), F.col("tokens").alias("x")), own.select(F.col("node").alias("b"), F.col("tokens").alias("y"))
-        new = materialise(found.join(x, "a").join(y, "b").mapInArrow(_verify(num, den), "a long, b long"), where, f"links{turn}")
-        links = new.select(F.col("a").alias("node")).unionByName(new.select(F.col("b").alias("node")))
-        counted = links if counted is None else counted.unionByName(links)
-        if labels is None or not new.isEmpty():
-            # Labels so far are stars, so new links only join stars.
-            edges = new if labels is None else new.unionByName(labels.select(F.col("node").alias("a"), F.col("label").alias("b")))
-            labels = components(edges, where, f"components{turn}")
         best, turn = (4 if best is None else best * GROWTH), turn + 1
-    found = counted.groupBy("node").agg(F.count(F.lit(1)).alias("n_links_found"))
+    links = None if counted is None else counted.distinct().select(F.explode(F.array("a", "b")).alias("node")).groupBy("node").agg(F.count(F.lit(1)).alias("n_links_found"))
+    links = spark.createDataFrame([], "node long, n_links_found long") if links is None else links
     # Smallest doc_id of each component: first over equal sets, then over their labels.
-    rep = nodes.where("n > 0").groupBy("node").agg(F.min("doc_id").alias("least")).join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
+    real = F.nullif(F.col("doc_id"), F.lit(NO_ID))
+    rep = nodes.where("n > 0").groupBy("node").agg(F.min(real).alias("least")).join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
     comp = rep.groupBy("label").agg(F.min("least").alias("component_id"))
-    of = rep.join(comp, "label").join(found, "node", "left").select("node", "component_id", "n_links_found")
+    of = materialise(rep.join(comp, "label").join(links, "node", "left").select("node", "component_id", "n_links_found"), where, "of")
+    discard(spark, where, ["groups", "wanted", "sketches", "big", *(f"{x}{i}" for i in range(turn + 1) for x in ("pairs", "fetch", "sets", "links", "apart"))])
     return nodes.join(of, "node", "left").select(
-        "doc_id", F.col("n").alias("n_shingles"), F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"), F.coalesce("n_links_found", F.lit(0)).alias("n_links_found"),
+        real.alias("doc_id"), F.col("n").alias("n_shingles"), F.when(F.col("n") > 0, F.col("component_id")).otherwise(real).alias("component_id"), F.coalesce("n_links_found", F.lit(0)).alias("n_links_found"),
     )

@@ -3,7 +3,7 @@ import random
 import numpy as np
 import pytest
 
-from millrace.llm import components, parity_join
+from millrace.llm import common, components, parity_join
 from tests.llm import brute
 from tests.llm.test_scans import frame
 
@@ -33,11 +33,12 @@ def near_copies(seed=1):
     return out
 
 
-@pytest.mark.parametrize(("group", "small"), [(2048, 8), (6, 2)])
-def test_components_match_brute_force(spark, monkeypatch, group, small):
+@pytest.mark.parametrize(("group", "few", "ties"), [(2048, 4, 16), (6, 0, 1), (4, 4, 2)])
+def test_components_match_brute_force(spark, monkeypatch, group, few, ties):
     monkeypatch.setattr(parity_join, "GROUP", group)
-    monkeypatch.setattr(parity_join, "SMALL", small)
-    monkeypatch.setattr(components, "TASK_EDGES", 200_000 if small == 8 else 0)
+    monkeypatch.setattr(parity_join, "FEW", few)
+    monkeypatch.setattr(parity_join, "TIES", ties)
+    monkeypatch.setattr(components, "TASK_EDGES", 200_000 if few and group > 4 else 0)
     texts = near_copies(group)
     got = {x.doc_id: (x.n_shingles, x.component_id) for x in parity_join.similar(frame(spark, texts, 100).repartition(5)).collect()}
     want = brute.components({i + 100: t for i, t in enumerate(texts)})
@@ -52,7 +53,18 @@ def test_chain_and_edges(spark):
     assert got == {k: c for k, (_, c) in brute.components(dict(enumerate(chain))).items()} and set(got.values()) == {0}
     assert parity_join.similar(frame(spark, ["x"]).limit(0)).count() == 0
     twice = spark.createDataFrame([(1, "a b"), (1, "a b"), (2, None), (None, "x")], "doc_id long, text string")
-    assert sorted(x.component_id for x in parity_join.similar(twice).collect()) == [1, 1, 2]
+    got = [(x.doc_id, x.n_shingles, x.component_id) for x in parity_join.similar(twice).collect()]
+    assert sorted(got, key=str) == sorted([(1, 1, 1), (1, 1, 1), (2, 0, 2), (None, 1, None)], key=str)
+    shared = spark.createDataFrame([(None, "a b"), (7, "a b"), (None, "c d"), (None, None)], "doc_id long, text string")
+    got = [(x.doc_id, x.component_id) for x in parity_join.similar(shared).collect()]
+    assert sorted(got, key=str) == sorted([(None, 7), (7, 7), (None, None), (None, None)], key=str)
+
+
+def test_bit_maps_and_joins_give_the_same_rows(spark, monkeypatch):
+    monkeypatch.setattr(common, "MAP_VALUES", 0)
+    texts = near_copies(3)[:120]
+    got = {x.doc_id: (x.n_shingles, x.component_id) for x in parity_join.similar(frame(spark, texts)).collect()}
+    assert got == brute.components(dict(enumerate(texts)))
 
 
 def test_bands_bound_the_difference():
