@@ -1,6 +1,7 @@
 import hashlib
 import random
 
+import numpy as np
 import pytest
 
 from millrace.llm import merkle, ownership, pii, winnowing
@@ -51,8 +52,8 @@ def test_value_in_many_repositories_of_one_owner_is_an_example(spark):
 
 def test_pii_base_spans(spark):
     texts = tricky()
-    got = {r.doc_id: (r.n_email, r.n_ip, r.n_card, r.n_phone, r.base_sha256) for r in pii.find(frame(spark, texts)).collect()}
-    want = {i: brute.pii(t) for i, t in enumerate(texts)}
+    got = {r.doc_id: (r.n_email, r.n_ip, r.n_card, r.n_phone, r.base_sha256, r.spans) for r in pii.find(frame(spark, texts)).collect()}
+    want = {i: (*brute.pii(t), brute.personal(t)[1]) for i, t in enumerate(texts)}
     assert {i: (t, got[i], want[i]) for i, t in enumerate(texts) if got[i] != want[i]} == {}
 
 
@@ -100,6 +101,31 @@ def test_winnowing_hits_items_without_an_id(spark, tmp_path):
         assert [(x.contaminated, x["items"]) for x in sorted(got, key=lambda x: x.doc_id)] == [(True, ["b", None]), (True, [None]), (True, ["a", None]), (False, []), (False, [])]
 
 
+def test_winnowing_of_repeated_words_is_linear(spark):
+    import time
+
+    texts, items = ["same " * 20_000, "a same " * 300, "b"], {"rep": "same " * 5_000, "two": "same a " * 400, "other": "x " * 5_000}
+    bench = spark.createDataFrame(list(items.items()), "item_id string, text string")
+    docs = frame(spark, texts).coalesce(1)
+    for block in (1_000_000, 1):
+        began = time.time()
+        got = {x.doc_id: (x.n_words, x.n_hit, x.n_items) for x in winnowing.decontaminate(docs, bench, block_words=block).collect()}
+        assert got == {0: (20_000, 20_000, 1), 1: (600, 600, 1), 2: (1, 0, 0)} and time.time() - began < 20
+    words = np.arange(1, 20_001, dtype=np.uint64) * 0 + np.uint64(7)
+    began = time.time()
+    winnowing.spans_to_test(words, np.zeros(20_000, np.int64), 10, 5, [3], lambda g: np.ones(len(g), bool))
+    assert time.time() - began < 2
+
+
+def test_winnowing_keeps_other_columns_and_replaces_those_of_its_names(spark):
+    bench = spark.createDataFrame([("a", "one two three")], "item_id string, text string")
+    docs = spark.createDataFrame([(1, "x one two three", "old", 5, 7), (None, None, None, None, None)], "doc_id long, text string, items string, n_hit int, h int")
+    for block in (1_000_000, 0):
+        got = winnowing.decontaminate(docs, bench, block_words=block, keep=True)
+        assert sorted(got.columns) == sorted(["doc_id", "text", "h", *winnowing.RESULT])
+        assert sorted(((x.doc_id, x.text, x.h, x.n_hit, x["items"], x.spans) for x in got.collect()), key=str) == sorted([(1, "x one two three", 7, 3, ["a"], [1, 3]), (None, None, None, 0, [], [])], key=str)
+
+
 @pytest.mark.parametrize("rows", [1, 7, 500])
 def test_merkle(spark, rows, monkeypatch):
     monkeypatch.setattr(merkle, "RANGE_ROWS", 3)
@@ -126,3 +152,34 @@ def test_merkle_edges(spark):
     one = merkle.add_fingerprint(frame(spark, ["a. b\nc\n\nd"]).withColumn("text2", __import__("pyspark").sql.functions.lit("a. b\nX\n\nd")), "text", "f")
     row = merkle.changed(merkle.add_fingerprint(one, "text2", "g"), "f", "g").first()
     assert row.changed_sections == [0] and row.changed_paragraphs == ["0/1"]
+
+
+def test_pii_of_many_spans_is_linear_and_scored(spark):
+    import time
+
+    mails = " ".join(f"u{i}@ex{i % 7}.org" for i in range(20_000))
+    docs = spark.createDataFrame([(1, mails, 5)], "doc_id long, text string, x int")
+    began = time.time()
+    assert pii.find(docs).first().n_email == 20_000
+    assert pii.redact(docs).first().text == " ".join(["[EMAIL]"] * 20_000)
+    assert time.time() - began < 30
+    texts = ["write to a@b.cd now", "a@b.cd", "pay 4111 1111 1111 1111", "iban DE89 3704 0044 0532 0130 00", "x 1.2.3.4 " + "y" * 60 + " host 5.6.7.8"]
+    got = {r.doc_id: r.scores for r in pii.find(frame(spark, texts)).collect()}
+    assert got == {0: [1.0], 1: [0.9], 2: [0.95], 3: [1.0], 4: [0.5, 0.65]}
+
+
+def test_redaction_keeps_columns_of_any_name(spark):
+    names = ["doc_id", "text", "t", "x", "row", "_t", "_pii", "m", "g", "a b", "c.d"]
+    docs = spark.createDataFrame([(1, "mail a@b.cd, 1.2.3.4", *range(9)), (None, None, *range(9))], ", ".join(f"`{n}` {'string' if n == 'text' else 'long'}" for n in names))
+    got = pii.redact(docs)
+    assert got.columns == names
+    assert sorted((tuple(r) for r in got.collect()), key=str) == sorted([(1, "mail [EMAIL], [IP]", *range(9)), (None, None, *range(9))], key=str)
+    assert sorted((r.doc_id or 0, r.n_email) for r in pii.find(docs).collect()) == [(0, 0), (1, 1)]
+
+
+@pytest.mark.parametrize("n", [0, 1, 31, 32, 33, 1023, 1024, 1025, 40_000])
+def test_places_and_pieces_at_every_level(spark, n):
+    t = "é" * 7 + "".join(f"{'𝒳' * (i % 5)} a{i}@b.cd" for i in range(n))
+    row = pii.find(frame(spark, [t])).first()
+    assert row.spans == brute.personal(t)[1]
+    assert pii.redact(frame(spark, [t])).first().text == "é" * 7 + "".join(f"{'𝒳' * (i % 5)} [EMAIL]" for i in range(n))
