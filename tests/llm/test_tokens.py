@@ -1,6 +1,7 @@
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from millrace.llm import packing, simple8b
@@ -63,3 +64,35 @@ def test_packing(spark, monkeypatch, round_items):
     total = sum(map(len, ids.values()))
     assert len(by_seq) <= 1.1 * -(-total // 64)
     assert packing.pack(frame(spark, ["x"]).limit(0), vocabulary()).count() == 0
+
+
+def test_bins_that_never_fill_stay_spread(spark, monkeypatch):
+    monkeypatch.setattr(packing, "ROUND_ITEMS", 10)
+    bins = 1000
+    cols = {"doc_id": np.arange(bins), "piece": np.zeros(bins, np.int32), "start": np.zeros(bins, np.int64), "length": np.full(bins, 40), "ids_crc32": np.zeros(bins, np.int64), "bin": np.arange(bins), "offset": np.zeros(bins, np.int64)}
+    batches = [pa.RecordBatch.from_pydict({k: v[a : a + 64] for k, v in cols.items()}) for a in range(0, bins, 64)]
+    out = list(packing._merge(64, 64)(iter(batches)))
+    assert max(b.num_rows for b in out) == 10 and sum(b.num_rows for b in out) == bins
+    one = {k: np.append(np.zeros(500, v.dtype) if k == "bin" else v[:500], v[500:520]) for k, v in cols.items()}
+    one["length"], one["offset"] = np.ones(520, np.int64), np.append(np.arange(500), np.zeros(20, np.int64))
+    monkeypatch.setattr(packing, "LOCAL_PIECES", 100)
+    out = list(packing._merge(600, 600)(iter([pa.RecordBatch.from_pydict(one)])))
+    assert [b.num_rows for b in out] == [500, 10, 10]  # a bin is never torn
+    docs = frame(spark, ["word " * 39] * 300).repartition(7)
+    got = packing.pack(docs, vocabulary(), 0, 64).collect()
+    assert len(got) == 300 and len({x.sequence_id for x in got}) == 300
+
+
+def test_packing_is_near_best_fit_over_all(spark, monkeypatch):
+    monkeypatch.setattr(packing, "ROUND_ITEMS", 40)
+    r = random.Random(4)
+    texts = ["word " * r.choice([r.randint(0, 60), 30, 33, 90]) for _ in range(900)]
+    got = packing.pack(frame(spark, texts).repartition(9), vocabulary(), 0, 64).collect()
+    sizes = np.array([x.length for x in got])
+    assert len({x.sequence_id for x in got}) <= 1.02 * (packing.best_fit(sizes, 64).max() + 1)
+
+
+def test_missing_ids(spark):
+    docs = spark.createDataFrame([(None, "a b"), (3, None), (None, None)], "doc_id long, text string")
+    assert sorted(((x.doc_id, x.length) for x in packing.pack(docs, vocabulary()).collect()), key=str) == sorted([(None, 3), (3, 1), (None, 1)], key=str)
+    assert sorted(((x.doc_id, x.n_tokens) for x in simple8b.round_trip(docs, vocabulary()).collect()), key=str) == sorted([(None, 3), (3, 1), (None, 1)], key=str)
