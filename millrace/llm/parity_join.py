@@ -34,7 +34,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm.common import discard, int_column, materialise, only, shared_dir, shuffle_partitions, slices
+from millrace.llm.common import Marks, bit_map, discard, int_column, materialise, only, shared_dir, shuffle_partitions, slices
 from millrace.llm.components import components
 from millrace.llm.hashing import SPACED, gram_hashes, mix, sequence_hash, word_bounds, word_hashes
 
@@ -102,8 +102,8 @@ def digests(tokens: np.ndarray, sizes: np.ndarray) -> np.ndarray:
 
 
 def sketch_bits(n: np.ndarray) -> np.ndarray:
-    """Bits of the short sketch of a set of n: a power of two of 4 n or more."""
-    return np.left_shift(1, np.ceil(np.log2(np.maximum(4 * n, 64))).astype(np.int64))
+    """Bits of the short sketch of a set of n: a power of two of 2 n or more."""
+    return np.left_shift(1, np.ceil(np.log2(np.maximum(2 * n, 64))).astype(np.int64))
 
 
 def sketches(tokens: np.ndarray, sizes: np.ndarray) -> list[bytes]:
@@ -143,8 +143,8 @@ def _nodes(k: int):
     return run
 
 
-_BUCKET_SCHEMA = "bucket int, keys binary, at binary, nodes binary"
-#: Bytes of a key that are sent: with the bucket, enough to tell keys apart; equal ones by chance are a candidate more.
+_BUCKET_SCHEMA = "bucket int, keys binary, nodes binary"
+#: Bytes of a key that are sent, its lowest bit being the role: with the bucket, enough to tell keys apart; equal ones by chance are a candidate more.
 KEY_BYTES = 6
 
 
@@ -155,27 +155,22 @@ def _keys(k: int, bands: Bands, buckets: int):
 
         def flush() -> pa.RecordBatch:
             nonlocal made, have
-            base = np.cumsum([0, *(len(m[2]) for m in made)])
-            keys = np.concatenate([m[0] for m in made])
-            at = np.concatenate([m[1] + b * 2 for m, b in zip(made, base, strict=False)])  # place * 2 + role
-            nodes = np.concatenate([m[2] for m in made])
-            # Equal sets of other slices go here, too: one row per (key, node, role).
-            _, first, back = np.unique(nodes, return_index=True, return_inverse=True)
-            keep = first[back][at >> 1] == at >> 1
-            keys, at = keys[keep], at[keep]
+            keys, node = np.concatenate([m[0] for m in made]), np.concatenate([m[1] for m in made])
+            # Equal sets of other slices go here, too: one key (with its role) of a node.
+            by = np.lexsort((node, keys))
+            keys, node = keys[by], node[by]
+            once = np.ones(len(keys), bool)
+            once[1:] = (keys[1:] != keys[:-1]) | (node[1:] != node[:-1])
+            keys, node = keys[once], node[once]
             bucket = (keys >> np.uint64(40)).astype(np.int64) % buckets
             by = np.argsort(bucket, kind="stable")
-            keys, at, bucket = keys[by], at[by], bucket[by]
-            cut = np.flatnonzero(np.diff(bucket, prepend=-1))
-            short = np.ascontiguousarray(keys.astype("<u8")).view(np.uint8).reshape(-1, 8)[:, :KEY_BYTES]
-            rows: list[list] = [[] for _ in range(4)]
-            for lo, hi in zip(cut.tolist(), [*cut[1:].tolist(), len(bucket)], strict=True):
-                own, back = np.unique(at[lo:hi] >> 1, return_inverse=True)
-                local = (back << 1) | (at[lo:hi] & 1)
-                for r, v in zip(rows, (int(bucket[lo]), short[lo:hi].tobytes(), local.astype("<u4" if len(own) > 30000 else "<u2").tobytes(), nodes[own].astype("<i8").tobytes()), strict=True):
-                    r.append(v)
+            keys, node, bucket = keys[by], node[by], bucket[by]
+            cut = np.append(np.flatnonzero(np.diff(bucket, prepend=-1)), len(bucket)).tolist()
+            short = np.ascontiguousarray(keys.astype("<u8")).view(np.uint8).reshape(-1, 8)[:, :KEY_BYTES].tobytes()
+            nodes = node.astype("<i8").tobytes()
+            rows = [bucket[cut[:-1]].tolist(), [short[KEY_BYTES * x : KEY_BYTES * y] for x, y in zip(cut[:-1], cut[1:], strict=True)], [nodes[8 * x : 8 * y] for x, y in zip(cut[:-1], cut[1:], strict=True)]]
             made, have = [], 0
-            return pa.RecordBatch.from_arrays([pa.array(r, t) for r, t in zip(rows, [pa.int32()] + [pa.binary()] * 3, strict=True)], ["bucket", "keys", "at", "nodes"])
+            return pa.RecordBatch.from_arrays([pa.array(r, t) for r, t in zip(rows, [pa.int32(), pa.binary(), pa.binary()], strict=True)], ["bucket", "keys", "nodes"])
 
         for _, raw, offs in slices(batches, most=1000):
             tokens, sizes = shingle_sets(raw, offs, k)
@@ -191,7 +186,8 @@ def _keys(k: int, bands: Bands, buckets: int):
             k0, o0 = segment_keys(tokens, sizes, band, bands)
             lower = np.flatnonzero(band > 0)
             k1, o1 = segment_keys(tokens[np.repeat(band > 0, sizes)], sizes[lower], band[lower] - 1, bands)
-            made.append((np.concatenate([k0, k1]), np.concatenate([o0 * 2, lower[o1] * 2 + 1]), node))
+            role = np.uint64(1)
+            made.append((np.concatenate([k0 & ~role, k1 | role]), node[np.concatenate([o0, lower[o1]])]))
             have += len(k0) + len(k1)
             if have >= FLUSH_KEYS:
                 yield flush()
@@ -237,17 +233,17 @@ def _groups(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
     now, parts = None, []
     for b in batches:
-        for bucket, keys, at, nodes in zip(*(b.column(i).to_pylist() for i in range(4)), strict=True):
+        for bucket, keys, nodes in zip(*(b.column(i).to_pylist() for i in range(3)), strict=True):
             if bucket != now and parts:
                 if (out := close(parts)) is not None:
                     yield out
                 parts = []
             now = bucket
-            nodes, short = np.frombuffer(nodes, "<i8"), np.frombuffer(keys, np.uint8).reshape(-1, KEY_BYTES)
-            at = np.frombuffer(at, "<u4" if len(nodes) > 30000 else "<u2").astype(np.int64)
+            short = np.frombuffer(keys, np.uint8).reshape(-1, KEY_BYTES)
             keys = np.zeros((len(short), 8), np.uint8)
             keys[:, :KEY_BYTES] = short
-            parts.append((keys.view("<u8").ravel(), nodes[at >> 1], at & 1))
+            keys = keys.view("<u8").ravel()
+            parts.append((keys >> np.uint64(1), np.frombuffer(nodes, "<i8"), (keys & np.uint64(1)).astype(np.uint8)))
     if parts and (out := close(parts)) is not None:
         yield out
 
@@ -274,40 +270,46 @@ def _near(sk: list[bytes], n: np.ndarray, bands: Bands) -> np.ndarray:
     return near
 
 
-def _forest(near: np.ndarray) -> list[tuple[int, int]]:
-    left = np.ones(len(near), bool)
+def _forest(near: np.ndarray) -> tuple[list[tuple[int, int]], np.ndarray]:
+    """Edges of a spanning forest, and each place's tree (-1: nothing is near)."""
+    left = near.any(axis=1)
+    tree = np.full(len(near), -1)
     out = []
     for root in np.argsort(-near.sum(axis=1), kind="stable").tolist():
         if not left[root]:
             continue
         left[root] = False
+        tree[root] = root
         queue = [root]
         while queue:
             i = queue.pop()
             found = np.flatnonzero(near[i] & left)
             left[found] = False
+            tree[found] = root
             out += [(i, j) for j in found.tolist()]
             queue += found.tolist()
-    return out
+    return out, tree
 
 
 def _candidates(bands: Bands, best: int | None):
-    """Pairs (a, b) to verify in each block, and the groups (open) that have more. best None: all pairs that the sketches let pass
-    if they are few for the block's size, else a spanning forest; later, of each two components in a block the `best` nearest pairs.
-    Rows come by block: block, gid, node, n, sketch, label."""
+    """Pairs (a, b) to verify in each block. best None: all pairs that the sketches let pass if they are few for the block's size, else
+    a spanning forest; later, of each two components in a block the `best` nearest pairs. Where there are more, the trees of the forest are
+    groups (open) of the next round, a row (a) for each node. Rows come by block: block, node, n, sketch, label."""
 
-    def pairs(node, n, sk, label) -> tuple[set[tuple[int, int]], bool]:
+    def pairs(node, n, sk, label) -> tuple[set[tuple[int, int]], list[tuple[int, int]]]:
         label = np.array(label)
         if (label == label[0]).all():
-            return set(), False
+            return set(), []
         near = np.triu(_near(sk, np.array(n), bands))
         near &= label[:, None] != label[None, :]
         i, j = np.nonzero(near)
         named = lambda ps: {(min(node[a], node[b]), max(node[a], node[b])) for a, b in ps}
         if len(i) <= FEW * len(n):
-            return named(zip(i.tolist(), j.tolist(), strict=True)), False
+            return named(zip(i.tolist(), j.tolist(), strict=True)), []
+        edges, tree = _forest(near | near.T)
+        of = [(int(t), node[x]) for x, t in enumerate(tree.tolist()) if t >= 0]
         if best is None:
-            return named(_forest(near | near.T)), True
+            return named(edges), of
         by: dict = {}
         width = min(map(len, sk)) // 8
         for a, b in zip(i.tolist(), j.tolist(), strict=True):
@@ -318,15 +320,15 @@ def _candidates(bands: Bands, best: int | None):
                 far = lambda p: int(np.bitwise_count(_folded(np.frombuffer(sk[p[0]], np.uint64), width) ^ _folded(np.frombuffer(sk[p[1]], np.uint64), width)).sum())
                 ps, more = sorted(ps, key=lambda p: (far(p), node[p[0]], node[p[1]]))[:best], True
             out |= named(ps)
-        return out, more
+        return out, of if more else []
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sent: set[tuple[int, int]] = set()
-        now, gid, rows = None, None, []
+        now, rows = None, []
 
         def close() -> pa.RecordBatch | None:
             nonlocal sent
-            found, more = pairs(*zip(*rows, strict=True)) if len(rows) > 1 else (set(), False)
+            found, more = pairs(*zip(*rows, strict=True)) if len(rows) > 1 else (set(), [])
             found -= sent
             if not found and not more:
                 return None
@@ -334,45 +336,53 @@ def _candidates(bands: Bands, best: int | None):
                 sent = set()
             sent |= found
             a = np.array(list(found), np.int64).reshape(-1, 2)
-            none = [None] * len(a)
+            gid = mix(np.array([t for t, _ in more], np.int64).view(np.uint64) + mix(np.array([now], np.int64).view(np.uint64))).view(np.int64)
             return pa.RecordBatch.from_arrays(
-                [pa.array(a[:, 0].tolist() + [None] * more, pa.int64()), pa.array(a[:, 1].tolist() + [None] * more, pa.int64()), pa.array(none + [gid] * more, pa.int64())], ["a", "b", "open"])
+                [pa.array(a[:, 0].tolist() + [x for _, x in more], pa.int64()), pa.array(a[:, 1].tolist() + [None] * len(more), pa.int64()), pa.array([None] * len(a) + gid.tolist(), pa.int64())], ["a", "b", "open"])
 
         for b in batches:
-            for row in zip(*(b.column(b.schema.get_field_index(c)).to_pylist() for c in ("block", "gid", "node", "n", "sketch", "label")), strict=True):
+            for row in zip(*(b.column(b.schema.get_field_index(c)).to_pylist() for c in ("block", "node", "n", "sketch", "label")), strict=True):
                 if row[0] != now and rows:
                     if (out := close()) is not None:
                         yield out
                     rows = []
-                now, gid = row[:2]
-                rows.append(row[2:])
+                now = row[0]
+                if not rows or rows[-1][0] != row[1]:
+                    rows.append(row[1:])
         if rows and (out := close()) is not None:
             yield out
 
     return run
 
 
-def _sketched(k: int):
-    """Size and sketch of every document's set."""
+def _once(node: np.ndarray, marks: Marks) -> np.ndarray:
+    """Places of the first of equal non-empty sets that are marked."""
+    at = np.unique(node, return_index=True)[1]
+    return np.sort(at[(node[at] != 0) & marks.has(node[at])])
+
+
+def _sketched(k: int, marks: Marks):
+    """Size and sketch of the sets that are marked, of equal sets of a batch once."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for rows, raw, offs in slices(batches, most=1000):
+        for _, raw, offs in slices(batches, most=1000):
             tokens, sizes = shingle_sets(raw, offs, k)
-            yield pa.RecordBatch.from_arrays([pa.array(int_column(rows, "doc_id")), pa.array(digests(tokens, sizes)), pa.array(sizes.astype(np.int64)), pa.array(sketches(tokens, sizes), pa.binary())], ["doc_id", "node", "n", "sketch"])
+            node = digests(tokens, sizes)
+            at = pa.array(_once(node, marks))
+            yield pa.RecordBatch.from_arrays([pa.array(node).take(at), pa.array(sizes.astype(np.int64)).take(at), pa.array(sketches(tokens, sizes), pa.binary()).take(at)], ["node", "n", "sketch"])
 
     return run
 
 
-def _sets(k: int):
-    """Every document's set."""
+def _sets(k: int, marks: Marks):
+    """The sets that are marked, equal ones of a batch once."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for rows, raw, offs in slices(batches, most=1000):
+        for _, raw, offs in slices(batches, most=1000):
             tokens, sizes = shingle_sets(raw, offs, k)
-            ends = np.cumsum(sizes)
-            data = tokens.astype("<u8").tobytes()
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(int_column(rows, "doc_id")), pa.array(digests(tokens, sizes)), pa.array([data[8 * (e - n) : 8 * e] for e, n in zip(ends.tolist(), sizes.tolist(), strict=True)], pa.binary())], ["doc_id", "node", "tokens"])
+            node, ends = digests(tokens, sizes), np.cumsum(sizes)
+            at, data = _once(node, marks), tokens.astype("<u8").tobytes()
+            yield pa.RecordBatch.from_arrays([pa.array(node[at]), pa.array([data[8 * (e - n) : 8 * e] for e, n in zip(ends[at].tolist(), sizes[at].tolist(), strict=True)], pa.binary())], ["node", "tokens"])
 
     return run
 
@@ -393,28 +403,28 @@ def _verify(num: int, den: int):
 
 
 def _spread(groups: DataFrame, big: DataFrame) -> DataFrame:
-    """(block, gid, node) of the first round: a small group is a block; a large one is dealt out to blocks of GROUP / 2 nodes, each
+    """(block, node) of the first round: a small group is a block; a large one is dealt out to blocks of GROUP / 2 nodes, each
     with the same few nodes besides, spread by hash, that may tie the blocks together."""
-    small = groups.join(big, "gid", "left_anti").select(F.col("gid").alias("block"), "gid", "node")
+    small = groups.join(big, "gid", "left_anti").select(F.col("gid").alias("block"), "node")
     dealt = groups.join(big, "gid").withColumn("k", F.expr(f"cast(ceil(c * 2 / {GROUP}) as int)"))
-    own = dealt.select(F.expr("xxhash64(gid, pmod(xxhash64(node), k))").alias("block"), "gid", "node")
+    own = dealt.select(F.expr("xxhash64(gid, pmod(xxhash64(node), k))").alias("block"), "node")
     ties = dealt.groupBy("gid", "k", F.expr(f"pmod(xxhash64(node, 1), {TIES})")).agg(F.min("node").alias("node"))
-    ties = ties.select(F.explode(F.expr("sequence(0, k - 1)")).alias("i"), "gid", "node").select(F.expr("xxhash64(gid, cast(i as bigint))").alias("block"), "gid", "node")
+    ties = ties.select(F.explode(F.expr("sequence(0, k - 1)")).alias("i"), "gid", "node").select(F.expr("xxhash64(gid, cast(i as bigint))").alias("block"), "node")
     return small.unionByName(own).unionByName(ties).distinct()
 
 
-def _apart(groups: DataFrame, open_: DataFrame, labels: DataFrame) -> DataFrame:
-    """(block, gid, node, label) of the open groups whose nodes are in two components or more. A large group's blocks pair up the
+def _apart(groups: DataFrame, labels: DataFrame) -> DataFrame:
+    """(block, node, label) of the groups whose nodes are in two components or more. A large group's blocks pair up the
     nodes outside its largest component with one another and with that component, whose own nodes need no comparing."""
-    rows = groups.join(open_, "gid", "left_semi").join(labels, "node", "left").select("gid", "node", F.coalesce("label", "node").alias("label"))
+    rows = groups.join(labels, "node", "left").select("gid", "node", F.coalesce("label", "node").alias("label"))
     of = rows.groupBy("gid", "label").agg(F.count(F.lit(1)).alias("c")).groupBy("gid").agg(F.count(F.lit(1)).alias("parts"), F.sum("c").alias("c"), F.max(F.struct("c", "label")).alias("most"))
     of = of.where("parts > 1").select("gid", "c", F.col("most.label").alias("major"), F.expr(f"cast(ceil(most.c * 2 / {GROUP}) as int)").alias("km"), F.expr(f"cast(ceil((c - most.c) * 2 / {GROUP}) as int)").alias("kr"))
     rows = rows.join(of, "gid")
-    small = rows.where(f"c <= {GROUP}").select(F.col("gid").alias("block"), "gid", "node", "label")
+    small = rows.where(f"c <= {GROUP}").select(F.col("gid").alias("block"), "node", "label")
     # Blocks 0 to kr - 1 hold the rest, blocks kr to kr + km - 1 the largest component.
     rows = rows.where(f"c > {GROUP}").withColumn("own", F.expr("cast(case when label = major then kr + pmod(xxhash64(node), km) else pmod(xxhash64(node), kr) end as int)"))
     rows = rows.withColumn("o", F.explode(F.expr("sequence(0, case when label = major then kr - 1 else kr + km - 1 end)")))
-    return small.unionByName(rows.select(F.expr("xxhash64(gid, least(own, o), greatest(own, o))").alias("block"), "gid", "node", "label"))
+    return small.unionByName(rows.select(F.expr("xxhash64(gid, least(own, o), greatest(own, o))").alias("block"), "node", "label"))
 
 
 def similar(docs: DataFrame, k: int = 5, num: int = 80, den: int = 100) -> DataFrame:
@@ -431,13 +441,12 @@ def similar(docs: DataFrame, k: int = 5, num: int = 80, den: int = 100) -> DataF
     # One document stands for each node that is in a group.
     wanted = nodes.join(groups.select("node").distinct(), "node").groupBy("node").agg(F.min("doc_id").alias("doc_id"))
     wanted = materialise(wanted, where, "wanted")
-    sketch = only(texts, wanted, "doc_id").mapInArrow(_sketched(k), "doc_id long, node long, n long, sketch binary").join(wanted, ["doc_id", "node"], "left_semi").dropDuplicates(["node"])
-    sketch = materialise(sketch.select("node", "n", "sketch"), where, "sketches")
+    sketch = materialise(only(texts, wanted, "doc_id").mapInArrow(_sketched(k, bit_map(wanted.select("node"))), "node long, n long, sketch binary"), where, "sketches")
     big = materialise(groups.groupBy("gid").agg(F.count(F.lit(1)).alias("c")).where(f"c > {GROUP}"), where, "big")
     labels, counted, sets, best, turn = None, None, None, None, 0
     rows = _spread(groups, big).withColumn("label", F.col("node"))
     while True:
-        rows = rows.join(sketch, "node").select("block", "gid", "node", "n", "sketch", "label")
+        rows = rows.join(sketch, "node").select("block", "node", "n", "sketch", "label")
         found = rows.repartition(n, "block").sortWithinPartitions("block", "node").mapInArrow(_candidates(bands, best), "a long, b long, open long").distinct()
         found = materialise(found, where, f"pairs{turn}")
         pairs = found.where("open is null").select("a", "b")
@@ -445,12 +454,13 @@ def similar(docs: DataFrame, k: int = 5, num: int = 80, den: int = 100) -> DataF
         ends = pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node"))).distinct()
         fetch = materialise(wanted.join(ends if sets is None else ends.join(sets, "node", "left_anti"), "node", "left_semi"), where, f"fetch{turn}")
         if not fetch.isEmpty():
-            own = only(texts, fetch, "doc_id").mapInArrow(_sets(k), "doc_id long, node long, tokens binary").join(fetch, ["doc_id", "node"], "left_semi").dropDuplicates(["node"]).select("node", "tokens")
-            own = materialise(own, where, f"sets{turn}")
+            # Sets that nobody asked for join no pair.
+            own = materialise(only(texts, fetch, "doc_id").mapInArrow(_sets(k, bit_map(fetch.select("node"))), "node long, tokens binary"), where, f"sets{turn}")
             sets = own if sets is None else sets.unionByName(own)
         if sets is not None and not pairs.isEmpty():
-            x, y = sets.select(F.col("node").alias("a"), F.col("tokens").alias("x")), sets.select(F.col("node").alias("b"), F.col("tokens").alias("y"))
-            new = materialise(pairs.join(x, "a").join(y, "b").mapInArrow(_verify(num, den), "a long, b long"), where, f"links{turn}")
+            own = only(sets, ends, "node") if turn else sets  # later rounds need few
+            x, y = own.select(F.col("node").alias("a"), F.col("tokens").alias("x")), own.select(F.col("node").alias("b"), F.col("tokens").alias("y"))
+            new = materialise(pairs.join(x, "a").join(y, "b").mapInArrow(_verify(num, den), "a long, b long").distinct(), where, f"links{turn}")
             counted = new if counted is None else counted.unionByName(new)
             if not new.isEmpty():
                 # Labels so far are stars, so new links only join stars.
@@ -459,8 +469,10 @@ def similar(docs: DataFrame, k: int = 5, num: int = 80, den: int = 100) -> DataF
         if labels is None:
             labels = spark.createDataFrame([], "node long, label long")
         # Groups all of whose pairs went are done with; so are, by _apart, those in one component by now.
-        open_ = found.where("open is not null").select(F.col("open").alias("gid"))
-        rows = materialise(_apart(groups, (open_.unionByName(big.select("gid")) if best is None else open_).distinct(), labels), where, f"apart{turn}")
+        open_ = found.where("open is not null").select(F.col("open").alias("gid"), F.col("a").alias("node"))
+        if best is None:
+            open_ = open_.unionByName(groups.join(big, "gid", "left_semi").select("gid", "node"))
+        rows = materialise(_apart(open_, labels), where, f"apart{turn}")
         if rows.isEmpty():
             break
         best, turn = (4 if best is None else best * GROWTH), turn + 1
