@@ -12,6 +12,8 @@ from millrace.functions import text as T
 from millrace.functions.constants import ABBREVIATIONS, BUSINESS_SUFFIXES, FRENCH_REPLACEMENTS, FRENCH_STOP_WORDS, PHONETIC_CODES
 from millrace.operators import features, metrics, models, providers, quality, setops, sharding, submission
 from millrace.plans import blocking, er, pairs, tfidf
+from millrace.session import shared_folder
+from millrace.sources import readers
 from millrace.streaming import resume
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -187,7 +189,7 @@ CAND = "with " + q_candidates()
 @query("select * from lineitem order by l_orderkey, l_linenumber, l_partkey, l_suppkey, l_extendedprice, l_shipdate limit 1000")
 def scan_row_limit(spark, d):
     """A row limit is the feature: the first rows by key."""
-    return table(spark, d, "lineitem").orderBy("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice", "l_shipdate").limit(1000)
+    return readers.row_limit(table(spark, d, "lineitem"), ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice", "l_shipdate"], 1000)
 
 
 @query("select l_orderkey, l_linenumber, coalesce(case when l_quantity > 40 then null else l_quantity end::float, 0)::float as l_quantity, coalesce(l_discount::float, 0)::float as l_discount from lineitem")
@@ -208,6 +210,75 @@ def nonempty_filter(spark, d):
     return table(spark, d, "documents").where("text is not null and length(text) >= 2 and text <> ''").select("doc_id", F.length("text").cast("long").alias("n"))
 
 
+# --- Sources and sinks: written to the shared folder and read back ---------------------------------------------------------
+
+_ROWS = "c_custkey, c_name, c_nationkey, c_mktsegment"
+
+
+@query(f"select {_ROWS} from customer")
+def parquet_round_trip(spark, d):
+    folder = shared_folder(spark)
+    readers.write_parquet(table(spark, d, "customer").selectExpr(*_ROWS.split(", ")), f"{folder}/customer.parquet")
+    return readers.extract(spark, folder=folder)
+
+
+@query("select c_custkey, concat(c_name, ', \"', c_mktsegment, '\"', chr(10), 'x') as note, case when c_custkey % 3 <> 0 then c_acctbal end as c_acctbal from customer")
+def csv_round_trip(spark, d):
+    """Quotes, separators, line ends and nulls come back."""
+    folder = shared_folder(spark)
+    rows = table(spark, d, "customer").selectExpr("c_custkey", "concat(c_name, ', \"', c_mktsegment, '\"\\n', 'x') as note", "case when c_custkey % 3 <> 0 then c_acctbal end as c_acctbal")
+    readers.write_delimited(rows, f"{folder}/customer.csv", ",")
+    return readers.extract(spark, folder=folder).select(F.col("c_custkey").cast("long"), "note", F.col("c_acctbal").cast("double"))
+
+
+@query("select concat('c', c_custkey) as entity_id, c_name as business_name, coalesce(case when c_custkey % 4 <> 0 then c_mktsegment end, '') as business_address, '' as country, 1 as source from customer union all select concat('s', s_suppkey), s_name, '', '', 2 from supplier")
+def entity_sources_round_trip(spark, d):
+    """Two of three TSV sources exist; nulls are empty texts."""
+    folder = shared_folder(spark)
+    made = {1: table(spark, d, "customer").selectExpr("concat('c', c_custkey) as entity_id", "c_name as business_name", "case when c_custkey % 4 <> 0 then c_mktsegment end as business_address", "cast(null as string) as country"),
+            2: table(spark, d, "supplier").selectExpr("concat('s', s_suppkey) as entity_id", "s_name as business_name", "'' as business_address", "'' as country")}
+    for i, df in made.items():
+        readers.write_delimited(df, f"{folder}/train/train_source{i}.tsv")
+    return readers.entities(spark, folder, "train")
+
+
+@query("select concat('c', o_custkey) as source1_entity_id, concat('o', o_orderkey) as source2_entity_id from orders")
+def ground_truth_round_trip(spark, d):
+    folder = shared_folder(spark)
+    lists = truth(spark, d).groupBy("source1_entity_id").agg(F.array_join(F.collect_list("source2_entity_id"), ",").alias("matched_entity_ids"))
+    readers.write_delimited(lists, f"{folder}/train/train_ground_truth.tsv")
+    return submission.explode_truth(readers.ground_truth(spark, folder)).select("source1_entity_id", "source2_entity_id")
+
+
+@query("select doc_id, sum(quality)::double as prediction from (select doc_id, quality from labels union all select doc_id, toxic from labels) group by 1")
+def prediction_files_round_trip(spark, d):
+    """Files that are missing or lack the columns are left out."""
+    folder, labels = shared_folder(spark), table(spark, d, "labels")
+    for c in ("quality", "toxic"):
+        readers.write_parquet(labels.select("doc_id", F.col(c).cast("double").alias("prediction")), f"{folder}/{c}.parquet")
+    readers.write_parquet(labels.select("doc_id"), f"{folder}/other.parquet")
+    found = readers.predictions(spark, [f"{folder}/{n}.parquet" for n in ("quality", "toxic", "other", "none")], "doc_id", "prediction")
+    return found[0].unionByName(found[1]).groupBy("doc_id").agg(F.sum("prediction").alias("prediction")) if len(found) == 2 else found[0]
+
+
+@query("select doc_id, lang, source from documents")
+def worker_outputs_round_trip(spark, d):
+    folder, df = shared_folder(spark), table(spark, d, "documents").select("doc_id", "lang", "source")
+    for i in range(3):
+        readers.write_worker(sharding.get_shard(df, "doc_id", i, 3), folder, i, {"worker": i}, {}, {})
+    return readers.merge_workers(spark, folder, "doc_id")
+
+
+@query("select event_id, user_id, case when event_id % 2 = 0 then value + 1 else value end as value from events where event_id % 3 <> 0")
+def cache_round_trip(spark, d):
+    """Two versions of a cache: the second replaces and adds; rows that are asked for come back."""
+    e = table(spark, d, "events").select("event_id", "user_id", "value")
+    cache = setops.Cache(spark, shared_folder(spark), "events", {"model": "x"}, "event_id")
+    cache.save(e.where("event_id % 3 = 0 or event_id % 2 = 0"))
+    cache.save(e.where("event_id % 2 = 0").withColumn("value", F.col("value") + 1))
+    return setops.resume(e.where("event_id % 3 <> 0"), cache, lambda todo: todo)
+
+
 # --- Shards, splits, samples -------------------------------------------------------------------------------------------
 
 
@@ -350,7 +421,7 @@ def preprocess_frame(spark, d):
 
 @query("select distinct lang, source, text from documents")
 def dedup_rows(spark, d):
-    return table(spark, d, "documents").select("lang", "source", "text").dropDuplicates()
+    return setops.dedup(table(spark, d, "documents").select("lang", "source", "text"))
 
 
 _LAST = "select event_id, ts, user_id, event_type, value from events qualify row_number() over (partition by user_id order by ts desc, event_id desc) = 1"
@@ -368,10 +439,10 @@ def cache_upsert(spark, d):
     return setops.upsert(old, new, "user_id")
 
 
-@query("select event_id, user_id from events where user_id not in (select user_id from events where event_type = 'error')")
+@query("select event_id, user_id from events where event_id not in (select event_id from events where user_id % 3 = 0)")
 def filter_uncached(spark, d):
-    e = table(spark, d, "events")
-    return setops.uncached(e.select("event_id", "user_id"), e.where("event_type = 'error'").select("user_id"), "user_id")
+    e = table(spark, d, "events").select("event_id", "user_id")
+    return setops.uncached(e, e.where("user_id % 3 = 0").select("event_id"), "event_id")
 
 
 @query("select doc_id, lang, n_chars from documents")
@@ -671,7 +742,7 @@ def submission_violations(spark, d):
     return submission.violations(spark.sql(_BAD), l, r, truth(spark, d))
 
 
-@query(CAND + """, o1 as (select concat('c', c_custkey) as id, """ + ", ".join(f"{LEFT[c]} as {c}" for c in ("business_name", "business_address", "country")) + """ from customer join nation on c_nationkey = n_nationkey), o2 as (select concat('o', o_orderkey) as id, """ + ", ".join(f"{RIGHT[c]} as {c}" for c in ("business_name", "business_address", "country")) + """ from orders join (customer join nation on c_nationkey = n_nationkey) on o_custkey = c_custkey)
+@query(CAND + """, o1 as (select concat('c', c_custkey) as id, """ + ", ".join(f"{q_norm1(LEFT[c])} as {c}" for c in ("business_name", "business_address", "country")) + """ from customer join nation on c_nationkey = n_nationkey), o2 as (select concat('o', o_orderkey) as id, """ + ", ".join(f"{q_norm1(RIGHT[c])} as {c}" for c in ("business_name", "business_address", "country")) + """ from orders join (customer join nation on c_nationkey = n_nationkey) on o_custkey = c_custkey)
 select source1_entity_id, source2_entity_id, concat('Do these two records describe the same business?', chr(10), 'A: name: ', coalesce(o1.business_name, ''), ', address: ', coalesce(o1.business_address, ''), ', country: ', coalesce(o1.country, ''), chr(10), 'B: name: ', coalesce(o2.business_name, ''), ', address: ', coalesce(o2.business_address, ''), ', country: ', coalesce(o2.country, ''), chr(10), 'Answer Yes or No: ') as prompt
 from cand join o1 on o1.id = source1_entity_id join o2 on o2.id = source2_entity_id""")
 def llm_prompts(spark, d):
@@ -841,3 +912,16 @@ def provider_ocr(spark, d):
 @query("select date_trunc('hour', ts) as window_start, date_trunc('hour', ts) + interval 1 hour as window_end, event_type, count(*) as n from events group by 1, 2, 3")
 def windowed_counts(spark, d):
     return resume.windowed_counts(table(spark, d, "events"), "ts", ["event_type"])
+
+
+@query()
+def ensemble_threshold(spark, d):
+    """The best threshold of a blend."""
+    return metrics.ensemble_with_threshold(_models(spark, d), table(spark, d, "labels"), "doc_id", "prediction", "quality")[1]
+
+
+@query("select page_id, 0.0::float as img_emb_0, 0.0::float as img_emb_1 from pages")
+def image_embeddings(spark, d):
+    """Without a model, zeros."""
+    found = providers.image_embeddings(table(spark, d, "pages").withColumn("content", F.col("html").cast("binary")), "page_id", dim=2)
+    return providers.expand_embedding(found, 2, "img_emb_")

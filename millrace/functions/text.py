@@ -159,6 +159,6 @@ def char_trigrams(text: Column) -> Column:
 
 
 def pair_prompt(name1: Column, address1: Column, country1: Column, name2: Column, address2: Column, country2: Column) -> Column:
-    """Question to a language model whether two records are one entity."""
-    record = lambda n, a, c: F.concat_ws(", ", F.concat(F.lit("name: "), F.coalesce(n, F.lit(""))), F.concat(F.lit("address: "), F.coalesce(a, F.lit(""))), F.concat(F.lit("country: "), F.coalesce(c, F.lit(""))))
+    """Question to a language model whether two records are one entity; the fields are normalised first (normalize_v1)."""
+    record = lambda *fields: F.concat_ws(", ", *(F.concat(F.lit(f"{k}: "), normalize_v1(x)) for k, x in zip(("name", "address", "country"), fields, strict=True)))
     return F.concat(F.lit("Do these two records describe the same business?\nA: "), record(name1, address1, country1), F.lit("\nB: "), record(name2, address2, country2), F.lit("\nAnswer Yes or No: "))

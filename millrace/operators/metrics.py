@@ -148,16 +148,29 @@ def ensemble(parts: list[DataFrame], id_column: str, pred: str, weights: list[fl
     return rows.groupBy(id_column).agg(F.sum("prediction").alias("prediction"))
 
 
-def compare_ensemble(parts: list[DataFrame], labels: DataFrame, id_column: str, pred: str, truth: str, threshold: float = 0.5) -> DataFrame:
-    """(model, accuracy, improves): each part and the mean, by labels at the threshold; improves only if over the best part."""
-    blend = ensemble(parts, id_column, pred).withColumnRenamed("prediction", pred)
+def ensemble_with_threshold(parts: list[DataFrame], labels: DataFrame, id_column: str, pred: str, truth: str, weights: list[float] | None = None, n: int = 100) -> tuple[DataFrame, DataFrame]:
+    """The (weighted) mean over parts, and the one row of search_threshold over it: threshold, f1. Labels are joined by id."""
+    blend = ensemble(parts, id_column, pred, weights)
+    return blend, search_threshold(blend.join(labels.select(id_column, truth), id_column), truth, "prediction", n)
+
+
+def compare_ensemble(parts: list[DataFrame], labels: DataFrame, id_column: str, pred: str, truth: str, threshold: float = 0.5, metric: str = "accuracy", weights: list[float] | None = None) -> DataFrame:
+    """(model, <metric>, improves): each part and the (weighted) mean; improves only if over the best part. Predictions become classes by
+    the threshold if the labels have two values, else by rounding half to even."""
+    blend = ensemble(parts, id_column, pred, weights).withColumnRenamed("prediction", pred)
+    two = labels.select(truth).where(F.col(truth).isNotNull()).distinct().limit(3).count() == 2
     rows = None
     for name, p in [*((f"model_{i}", p) for i, p in enumerate(parts)), ("ensemble", blend)]:
         one = p.select(id_column, F.col(pred).alias("_p")).join(labels.select(id_column, truth), id_column)
-        one = one.agg(F.round(F.avg(((F.col("_p") >= threshold).cast("int") == F.col(truth)).cast("double")), 6).alias("accuracy")).select(F.lit(name).alias("model"), "accuracy")
+        one = one.withColumn("_p", (F.col("_p") >= threshold).cast("int") if two else half_even(F.col("_p")))
+        if metric == "accuracy":
+            one = one.agg(F.round(F.avg((F.col("_p") == F.col(truth)).cast("double")), 6).alias(metric))
+        else:
+            one = classification(one.withColumn("_y", F.col(truth).cast("int")), "_y", "_p").where(F.col("metric") == metric).select(F.col("value").alias(metric))
+        one = one.select(F.lit(name).alias("model"), metric)
         rows = one if rows is None else rows.unionByName(one)
-    best = rows.where("model <> 'ensemble'").agg(F.max("accuracy").alias("best"))
-    return rows.crossJoin(F.broadcast(best)).select("model", "accuracy", ((F.col("model") == "ensemble") & (F.col("accuracy") > F.col("best"))).alias("improves"))
+    best = rows.where("model <> 'ensemble'").agg(F.max(metric).alias("best"))
+    return rows.crossJoin(F.broadcast(best)).select("model", metric, ((F.col("model") == "ensemble") & (F.col(metric) > F.col("best"))).alias("improves"))
 
 
 def half_even(prediction: Column) -> Column:

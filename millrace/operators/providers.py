@@ -8,23 +8,32 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, BooleanType, DoubleType, FloatType, IntegerType, StringType, StructField, StructType
 
 
-def text_embeddings(df: DataFrame, id_column: str, text: str, dim: int = 384, model: Callable[[list[str]], list[list[float]]] | None = None) -> DataFrame:
-    """(id, embedding array<float>), padded or cut to dim."""
+def _embeddings(df: DataFrame, id_column: str, value: Column, empty, dim: int, model: Callable[[list], list[list[float]]] | None) -> DataFrame:
     if model is None:
         return df.select(id_column, F.array_repeat(F.lit(0.0).cast("float"), dim).alias("embedding"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            got = model([t or "" for t in b.column(1).to_pylist()])
+            got = model([empty if x is None else x for x in b.column(1).to_pylist()])
             rows = [(list(v) + [0.0] * dim)[:dim] for v in got]
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(rows, pa.list_(pa.float32()))], [b.schema.names[0], "embedding"])
 
-    return df.select(id_column, F.col(text).cast("string").alias("_t")).mapInArrow(run, df.select(id_column).schema.add("embedding", ArrayType(FloatType())))
+    return df.select(id_column, value.alias("_v")).mapInArrow(run, df.select(id_column).schema.add("embedding", ArrayType(FloatType())))
+
+
+def text_embeddings(df: DataFrame, id_column: str, text: str, dim: int = 384, model: Callable[[list[str]], list[list[float]]] | None = None) -> DataFrame:
+    """(id, embedding array<float>), padded or cut to dim; model gets a batch's texts, a null one as empty."""
+    return _embeddings(df, id_column, F.col(text).cast("string"), "", dim, model)
+
+
+def image_embeddings(df: DataFrame, id_column: str, content: str = "content", dim: int = 384, model: Callable[[list[bytes]], list[list[float]]] | None = None) -> DataFrame:
+    """(id, embedding array<float>), padded or cut to dim; model gets a batch's image files, a null one as empty. expand_embedding(..., prefix="img_emb_") makes columns."""
+    return _embeddings(df, id_column, F.col(content).cast("binary"), b"", dim, model)
 
 
 def expand_embedding(df: DataFrame, dim: int, prefix: str = "text_emb_", column: str = "embedding") -> DataFrame:

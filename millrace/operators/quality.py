@@ -37,30 +37,88 @@ def distinct_report(df: DataFrame, count_null: bool = False) -> DataFrame:
     return _long(df, cols, ["distinct_values"])
 
 
+#: Rows between two bounds that are counted by value to find a quantile, and parts into which more rows are cut.
+NEAR_ROWS = 20_000
+PARTS = 1024
+#: Ranks by which the first bounds may be off, as a share of the rows.
+RANK_ERROR = 1e-4
+
+
+def quantiles(df: DataFrame, values: dict[str, Column], shares: list[float]) -> dict[str, list[float | None]]:
+    """Exact quantiles by linear interpolation, for each named value; None without values (nulls and NaN are none).
+
+    No task holds or sorts a whole column: sketches bound each rank, rows below the bounds are counted, and the rows between them
+    counted by value; while these are more than NEAR_ROWS, counts over PARTS parts tighten the bounds. All quantiles share the scans."""
+    names = list(values)
+    of = df.select(*(F.when(~F.isnan(e.cast("double")), e.cast("double")).alias(f"v{i}") for i, e in enumerate(values.values())))
+    asked = [min(1.0, max(0.0, q + d)) for q in shares for d in (-2 * RANK_ERROR, 2 * RANK_ERROR)]
+    sketch = lambda v: F.percentile_approx(v, asked, int(1 / RANK_ERROR))
+    row = of.agg(*(x for i in range(len(names)) for v in [F.col(f"v{i}")] for x in (F.count(v).alias(f"n{i}"), F.min(v).alias(f"a{i}"), F.max(v).alias(f"z{i}"), sketch(v).alias(f"s{i}")))).first()
+    out: dict[str, list[float | None]] = {c: [None] * len(shares) for c in names}
+    todo = {}  # (value, share) -> ranks, bounds
+    for i in range(len(names)):
+        for j, q in enumerate(shares):
+            if row[f"n{i}"]:
+                at = q * (row[f"n{i}"] - 1)
+                todo[i, j] = (int(at), min(int(at) + 1, row[f"n{i}"] - 1), at - int(at), *row[f"s{i}"][2 * j : 2 * j + 2])
+    while todo:
+        keys = list(todo)
+        inside = {k: F.col(f"v{k[0]}").between(todo[k][3], todo[k][4]) for k in keys}
+        counts = of.agg(*(x for t, k in enumerate(keys) for x in (F.count_if(F.col(f"v{k[0]}") < todo[k][3]).alias(f"b{t}"), F.count_if(inside[k]).alias(f"m{t}")))).first()
+        for t, k in enumerate(keys):
+            if not counts[f"b{t}"] <= todo[k][0] or todo[k][1] >= counts[f"b{t}"] + counts[f"m{t}"]:  # the ranks are elsewhere
+                todo[k] = (*todo[k][:3], row[f"a{k[0]}"], row[f"z{k[0]}"])
+        if any(not counts[f"b{t}"] <= todo[k][0] < todo[k][1] + 1 <= counts[f"b{t}"] + counts[f"m{t}"] for t, k in enumerate(keys)):
+            continue
+        near = {k: counts[f"m{t}"] <= NEAR_ROWS for t, k in enumerate(keys)}
+        part = lambda k: F.col(f"v{k[0]}") if near[k] or todo[k][3] == todo[k][4] else F.floor((F.col(f"v{k[0]}") - todo[k][3]) / (todo[k][4] - todo[k][3]) * (PARTS - 1)).cast("double")
+        rows = of.select(F.explode(F.array(*(F.when(inside[k], F.struct(F.lit(t).alias("t"), part(k).alias("p"), F.col(f"v{k[0]}").alias("v"))) for t, k in enumerate(keys)))).alias("x")).where("x is not null").select("x.*")
+        found: dict[int, list] = {}
+        for r in rows.groupBy("t", "p").agg(F.count(F.lit(1)).alias("n"), F.min("v").alias("a"), F.max("v").alias("z")).collect():  # NEAR_ROWS or PARTS a quantile
+            found.setdefault(r["t"], []).append((r["a"], r["z"], r["n"]))
+        for t, k in enumerate(keys):
+            first, last, share, _, _ = todo[k]
+            before, low, high = counts[f"b{t}"], None, None
+            for a, z, n in sorted(found[t]):
+                low = (a, z) if low is None and first < before + n else low
+                high = (a, z) if high is None and last < before + n else high
+                before += n
+            if low[0] == low[1] and high[0] == high[1]:
+                out[names[k[0]]][k[1]] = low[0] + (high[0] - low[0]) * share
+                del todo[k]
+            else:
+                todo[k] = (first, last, share, low[0], high[1])
+    return out
+
+
 def numeric_report(df: DataFrame, columns: list[str] | None = None, digits: int = 4) -> DataFrame:
     """count, mean, std (sample), min, quartiles by linear interpolation, max."""
-    quart = lambda c, q: F.percentile(F.col(c).cast("double"), F.lit(q))
-    aggs = lambda c: {"count": F.count(c), "mean": F.avg(c), "std": F.stddev_samp(c), "min": F.min(c).cast("double"), "p25": quart(c, 0.25), "p50": quart(c, 0.5), "p75": quart(c, 0.75), "max": F.max(c).cast("double")}
+    columns = columns or numeric_columns(df)
+    quarts = quantiles(df, {c: F.col(c) for c in columns}, [0.25, 0.5, 0.75])
+    aggs = lambda c: {"count": F.count(c), "mean": F.avg(c), "std": F.stddev_samp(c), "min": F.min(c).cast("double"), "max": F.max(c).cast("double")} | {f"p{q}": F.lit(x).cast("double") for q, x in zip((25, 50, 75), quarts[c], strict=True)}
     names = ["count", "mean", "std", "min", "p25", "p50", "p75", "max"]
-    out = _long(df, {c: aggs(c) for c in columns or numeric_columns(df)}, names)
+    out = _long(df, {c: aggs(c) for c in columns}, names)
     return out.select("column", "count", *(F.round(n, digits).alias(n) for n in names[1:]))
 
 
 def text_length_report(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
     """Of the non-null texts of each column: count, mean_length (two places), min_length, max_length, median_length (cut to whole)."""
+    columns = columns or string_columns(df)
     names = ["count", "mean_length", "min_length", "max_length", "median_length"]
-    aggs = lambda c: {"count": F.count(c), "mean_length": F.round(F.avg(F.length(c)), 2), "min_length": F.min(F.length(c)), "max_length": F.max(F.length(c)), "median_length": F.percentile(F.length(c), F.lit(0.5)).cast("int")}
-    return _long(df, {c: aggs(c) for c in columns or string_columns(df)}, names).where("count > 0")
+    medians = quantiles(df, {c: F.length(c) for c in columns}, [0.5])
+    aggs = lambda c: {"count": F.count(c), "mean_length": F.round(F.avg(F.length(c)), 2), "min_length": F.min(F.length(c)), "max_length": F.max(F.length(c)), "median_length": F.lit(medians[c][0]).cast("double").cast("int")}
+    return _long(df, {c: aggs(c) for c in columns}, names).where("count > 0")
 
 
 def text_stats(df: DataFrame, column: str) -> DataFrame:
     """One row: counts, nulls, empties, and statistics of characters and words of the non-null texts."""
     t = F.col(column)
     n, w = F.length(t), F.when(t.isNotNull(), T.word_count(t))
+    medians = quantiles(df, {"char": n, "word": w}, [0.5])
     return df.agg(
         F.count(t).alias("count"), F.sum(t.isNull().cast("long")).alias("null_count"), F.sum((t == "").cast("long")).alias("empty_count"),
-        F.round(F.avg(n), 4).alias("char_mean"), F.min(n).alias("char_min"), F.max(n).alias("char_max"), F.percentile(n, F.lit(0.5)).alias("char_median"),
-        F.round(F.avg(w), 4).alias("word_mean"), F.min(w).alias("word_min"), F.max(w).alias("word_max"), F.percentile(w, F.lit(0.5)).alias("word_median"),
+        F.round(F.avg(n), 4).alias("char_mean"), F.min(n).alias("char_min"), F.max(n).alias("char_max"), F.lit(medians["char"][0]).cast("double").alias("char_median"),
+        F.round(F.avg(w), 4).alias("word_mean"), F.min(w).alias("word_min"), F.max(w).alias("word_max"), F.lit(medians["word"][0]).cast("double").alias("word_median"),
     )
 
 
@@ -127,12 +185,12 @@ def inspect(df: DataFrame, target_words: tuple[str, ...] = ("target", "label", "
 
 
 def impute_medians(df: DataFrame, columns: list[str] | None = None, skip: tuple[str, ...] = ()) -> DataFrame:
-    """Nulls of numeric columns filled with the column's median; all medians come from one aggregate."""
+    """Nulls of numeric columns filled with the column's median; all medians share their scans."""
     cols = columns or numeric_columns(df, skip)
     if not cols:
         return df
-    medians = df.agg(*(F.percentile(F.col(c).cast("double"), F.lit(0.5)).alias(f"_median_{c}") for c in cols))  # one row
-    return df.crossJoin(F.broadcast(medians)).select(*(F.coalesce(F.col(c).cast("double"), F.col(f"_median_{c}")).alias(c) if c in cols else F.col(c) for c in df.columns))
+    medians = quantiles(df, {c: F.col(c) for c in cols}, [0.5])
+    return df.withColumns({c: F.coalesce(F.col(c).cast("double"), F.lit(medians[c][0]).cast("double")) for c in cols})
 
 
 def preprocess(df: DataFrame, id_column: str, text_columns: tuple[str, ...] = (), unicode_form: bool = True) -> DataFrame:

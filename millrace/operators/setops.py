@@ -9,6 +9,11 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 
+def dedup(df: DataFrame) -> DataFrame:
+    """Distinct rows."""
+    return df.dropDuplicates()
+
+
 def keep_one(df: DataFrame, keys: list[str], order: list[str], last: bool = False) -> DataFrame:
     """The first (or last) row of each key in the given order."""
     by = [F.col(c).desc_nulls_last() if last else F.col(c).asc_nulls_first() for c in order]

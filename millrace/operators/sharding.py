@@ -46,7 +46,7 @@ def _order(id_column: str, seed: int) -> list[Column]:
     return [F.md5(F.concat(F.lit(f"{seed}:"), F.col(id_column).cast("string"))), F.col(id_column)]
 
 
-def _cut(df: DataFrame, id_column: str, count: int, seed: int, where: str = "true") -> Column:
+def _cut(df: DataFrame, id_column: str, count: int, seed: int, where: Column | str = "true") -> Column:
     """Whether a row is among the `count` first by hash. The bound is found by a distributed top-k, not by a global window."""
     hash_ = F.md5(F.concat(F.lit(f"{seed}:"), F.col(id_column).cast("string")))
     if count <= 0:
@@ -91,10 +91,12 @@ def split_stratified(df: DataFrame, id_column: str, target: str, fraction: float
     rest = int(-(-f * sum(counts.values()) // 1)) - sum(take.values())
     for c in sorted(counts, key=lambda c: (take[c] - want[c], str(c)))[:rest]:
         take[c] += 1
-    table = df.sparkSession.createDataFrame([(str(c), c is None, n) for c, n in take.items()], "_c string, _null boolean, _take long")  # one row per class
-    ranked = df.withColumn("_n", F.row_number().over(Window.partitionBy(target).orderBy(*_order(id_column, seed))))
-    joined = ranked.join(F.broadcast(table), F.col(target).cast("string").eqNullSafe(F.when(~F.col("_null"), F.col("_c"))))
-    return joined.withColumn("split", F.when(F.col("_n") <= F.col("_take"), "val").otherwise("train")).select(*df.columns, "split")
+    # Each class by its own bound: no task sorts a class.
+    val = F.lit(False)
+    for c, n in take.items():
+        own = F.col(target).eqNullSafe(F.lit(c))
+        val |= own & _cut(df, id_column, n, seed, own)
+    return df.withColumn("split", F.when(val, "val").otherwise("train"))
 
 
 def split_group(df: DataFrame, id_column: str, group: str, fraction: float, seed: int = 42) -> DataFrame:
@@ -171,6 +173,4 @@ def balanced_sample(df: DataFrame, id_column: str, label: str, most: int, ratio:
     counts = {r[0]: r[1] for r in df.groupBy(label).count().collect()}
     pos = min(counts.get(1, 0), most // 2)
     neg = min(counts.get(0, 0), int(pos * ratio))
-    order = Window.partitionBy(label).orderBy(*_order(id_column, seed))
-    keep = F.when(F.col(label) == 1, pos).when(F.col(label) == 0, neg).otherwise(0)
-    return df.where(F.col(label).isin(0, 1)).withColumn("_n", F.row_number().over(order)).where(F.col("_n") <= keep).drop("_n")
+    return df.where((F.col(label) == 1) & _cut(df, id_column, pos, seed, F.col(label) == 1) | (F.col(label) == 0) & _cut(df, id_column, neg, seed, F.col(label) == 0))

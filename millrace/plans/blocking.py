@@ -27,15 +27,28 @@ def two_word_key() -> Column:
     return F.when(F.size(w) >= 2, F.concat_ws("|", F.array_join(F.slice(w, 1, 2), " "), F.col("country_norm")))
 
 
-def key_join(left: DataFrame, right: DataFrame, key: Column, cap: int | None = None) -> DataFrame:
-    """Pairs with equal keys. cap: keys with that many right rows or more make none. Bucket sizes are a partial aggregate
-    joined back, so a hot key is dropped before its rows meet the left side."""
-    l = left.select(F.col("entity_id").alias("source1_entity_id"), key.alias("_key")).where("_key is not null")
-    r = right.select(F.col("entity_id").alias("source2_entity_id"), key.alias("_key")).where("_key is not null")
+def keys_join(left: DataFrame, sources: list[DataFrame], keys: list[Column], cap: int | None = None) -> DataFrame:
+    """Pairs with equal keys of the same kind, one row for each kind that finds them. cap: a key with that many rows of a source or more makes
+    none with it.
+
+    Each side is read once: its keys of all kinds are rows (source, kind, key) of one join. Bucket sizes are a partial aggregate over the
+    right rows as they are dealt out for the join, so a hot key is dropped before it meets the left side; without a cap Spark's skew join
+    splits it."""
+    keyed = lambda d, name, i: d.select(F.col("entity_id").alias(name), F.lit(i).alias("_source"), F.posexplode(F.array(*keys)).alias("_kind", "_key")).where("_key is not null")
+    r = keyed(sources[0], "source2_entity_id", 0)
+    for i, d in enumerate(sources[1:], 1):
+        r = r.unionByName(keyed(d, "source2_entity_id", i))
+    by = ["_source", "_kind", "_key"]
     if cap is not None:
-        small = r.groupBy("_key").agg(F.count(F.lit(1)).alias("_c")).where(F.col("_c") < cap)
-        l = l.join(small.select("_key"), "_key")
-    return l.join(r, "_key").select("source1_entity_id", "source2_entity_id")
+        r = r.join(r.groupBy(*by).agg(F.count(F.lit(1)).alias("_c")).where(F.col("_c") < cap).drop("_c"), by)
+    l = keyed(left, "source1_entity_id", 0)
+    if len(sources) > 1:
+        l = l.drop("_source").withColumn("_source", F.explode(F.array(*(F.lit(i) for i in range(len(sources))))))
+    return l.join(r, by).select("source1_entity_id", "source2_entity_id")
+
+
+def key_join(left: DataFrame, right: DataFrame, key: Column, cap: int | None = None) -> DataFrame:
+    return keys_join(left, [right], [key], cap)
 
 
 def similar_names(left: DataFrame, right: DataFrame, k: int, floor: float = 0.2) -> DataFrame:
@@ -46,16 +59,10 @@ def similar_names(left: DataFrame, right: DataFrame, k: int, floor: float = 0.2)
 def candidates(left: DataFrame, sources: list[DataFrame], profile: str = "v3", cap: int | None = 50, k: int | None = None, names: bool = True) -> DataFrame:
     """Distinct union of all passes over all sources. Profile v1/v2: no cap, no two-word pass, k = 10; v3: cap, k = 5."""
     cap, k = (cap if profile == "v3" else None), k or (5 if profile == "v3" else 10)
-    parts = []
-    for right in sources:
-        parts += [key_join(left, right, first_word_key(profile), cap), key_join(left, right, numeric_key(), cap)]
-        if profile == "v3":
-            parts.append(key_join(left, right, two_word_key(), cap))
-        if names:
-            parts.append(similar_names(left, right, k))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
+    keys = [first_word_key(profile), numeric_key(), *([two_word_key()] if profile == "v3" else [])]
+    out = keys_join(left, sources, keys, cap)
+    for right in sources if names else ():
+        out = out.unionByName(similar_names(left, right, k))
     return out.distinct()
 
 

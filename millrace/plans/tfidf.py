@@ -10,6 +10,11 @@ from pyspark.sql import functions as F
 
 from millrace.functions.text import char_trigrams
 
+#: A left row's rarest grams by which top_k finds its bound, and right rows of a gram up to which it is used for that; a row without such a
+#: gram keeps `floor` as its bound.
+RARE = 3
+RARE_ROWS = 1000
+
 
 def postings(names: DataFrame, max_features: int | None = None) -> DataFrame:
     """names (id, name) -> (id, gram, w). Every row counts in n, also one without grams. max_features keeps the grams with
@@ -34,16 +39,24 @@ def pair_cosine(pairs: DataFrame, weights: DataFrame) -> DataFrame:
 def top_k(left: DataFrame, right: DataFrame, k: int, floor: float = 0.2, max_features: int | None = None) -> DataFrame:
     """For each left (id, name) the k right rows of greatest cosine over `floor`: (a, b, cosine), ties by id.
 
-    Only grams that can lift a pair over the floor generate candidates: a left row's commonest grams with a joint length
-    of at most the floor cannot do so alone (Cauchy-Schwarz), so no row is lost and frequent grams make no pairs.
+    No pair is lost, and few are made. In one order of grams, rarest on the right first, a row's grams after its prefix have a joint length
+    under a bound, so a pair whose cosine reaches the bound of both rows has its first common gram in both prefixes (Cauchy-Schwarz).
+    Right rows have `floor` as their bound. A left row's is found first: it meets the right rows of its RARE rarest grams, and its k-th best
+    cosine among them is the least that can still enter; a frequent gram is then in few prefixes.
     Names are taken as corpus rows of both sides; ranks are on the cosine rounded to nine places."""
     both = left.select(F.concat(F.lit("l"), F.col("id").cast("string")).alias("id"), "name").unionByName(right.select(F.concat(F.lit("r"), F.col("id").cast("string")).alias("id"), "name"))
     w = postings(both, max_features)
     lw, rw = w.where("id like 'l%'"), w.where("id like 'r%'")
     common = rw.groupBy("gram").agg(F.count(F.lit(1)).alias("c"))
-    ranked = lw.join(common, "gram").withColumn("rest", F.sqrt(F.sum(F.col("w") * F.col("w")).over(Window.partitionBy("id").orderBy(F.desc("c"), "gram"))))
-    probe = ranked.where(F.col("rest") > floor - 1e-9).select(F.col("id").alias("a"), "gram")
-    pairs = probe.join(rw.select(F.col("id").alias("b"), "gram"), "gram").select("a", "b").distinct()
+    order = Window.partitionBy("id").orderBy(F.desc("c"), F.desc("gram"))
+    ranked = lambda d: d.join(common, "gram").withColumns({"rest": F.sqrt(F.sum(F.col("w") * F.col("w")).over(order)), "place": F.row_number().over(Window.partitionBy("id").orderBy("c", "gram"))})
+    l = ranked(lw).where(F.col("rest") > floor - 1e-9).select(F.col("id").alias("a"), "gram", "rest", "place", "c")
+    r = ranked(rw).where(F.col("rest") > floor - 1e-9).select(F.col("id").alias("b"), "gram")
+    met = l.where((F.col("place") <= RARE) & (F.col("c") <= RARE_ROWS)).select("a", "gram").join(rw.select(F.col("id").alias("b"), "gram"), "gram").select("a", "b").distinct()
+    best = Window.partitionBy("a").orderBy(F.desc("cosine"))
+    bound = pair_cosine(met, w).withColumn("n", F.row_number().over(best)).where(F.col("n") == k).select("a", F.col("cosine").alias("bound"))
+    probe = l.join(bound, "a", "left").where(F.col("rest") > F.greatest(F.coalesce("bound", F.lit(0.0)), F.lit(floor)) - 1e-7).select("a", "gram")
+    pairs = probe.join(r, "gram").select("a", "b").distinct()
     found = pair_cosine(pairs, w).where(F.col("cosine") > floor).withColumn("cosine", F.round("cosine", 9))
     found = found.select(F.expr("substring(a, 2)").alias("a"), F.expr("substring(b, 2)").alias("b"), "cosine")
     return found.withColumn("rank", F.row_number().over(Window.partitionBy("a").orderBy(F.desc("cosine"), "b"))).where(F.col("rank") <= k).drop("rank")

@@ -35,8 +35,8 @@ def extract(spark: SparkSession, path: str | None = None, folder: str | None = N
     return row_limit(df, id_column or df.columns[0], max_rows)
 
 
-def row_limit(df: DataFrame, id_column: str, max_rows: int) -> DataFrame:
-    """The first max_rows rows by id; all if max_rows is not positive."""
+def row_limit(df: DataFrame, id_column: str | list[str], max_rows: int) -> DataFrame:
+    """The first max_rows rows by id (or ids); all if max_rows is not positive."""
     return df.orderBy(id_column).limit(max_rows) if max_rows > 0 else df
 
 
@@ -87,7 +87,7 @@ def write_parquet(df: DataFrame, path: str, partition_by: list[str] | None = Non
 
 
 def write_delimited(df: DataFrame, path: str, sep: str = "\t") -> None:
-    df.write.mode("overwrite").option("sep", sep).option("header", True).option("quote", "" if sep == "\t" else '"').option("emptyValue", "").csv(path)
+    df.write.mode("overwrite").option("sep", sep).option("header", True).option("quote", "" if sep == "\t" else '"').option("escape", '"').option("emptyValue", "").csv(path)
 
 
 def write_report(spark: SparkSession, report: dict, path: str) -> None:
@@ -105,14 +105,28 @@ def write_report(spark: SparkSession, report: dict, path: str) -> None:
 
 
 def write_worker(df: DataFrame, base: str, worker: int, config: dict, metrics: dict, runtime: dict) -> str:
-    """worker_<n>/: output.parquet, config, metrics and runtime reports."""
-    folder = f"{base}/worker_{worker}"
-    write_parquet(df, f"{folder}/output.parquet")
+    """worker_<n>/: output.parquet, config, metrics and runtime reports, and a README that names worker, task and seconds; errors.csv if the output has
+    errors of its rows (a column `error`), without which it is written."""
+    spark, folder = df.sparkSession, f"{base}/worker_{worker}"
+    if "error" in df.columns:
+        failed = df.where("error is not null")
+        if not failed.isEmpty():
+            write_delimited(failed.select(*(c for c in df.columns if c in ("error", df.columns[0]))), f"{folder}/errors.csv", ",")
+        write_parquet(df.drop("error"), f"{folder}/output.parquet")
+    else:
+        write_parquet(df, f"{folder}/output.parquet")
     for name, x in (("config", config), ("metrics", metrics), ("runtime", runtime)):
-        write_report(df.sparkSession, x, f"{folder}/{name}")
+        write_report(spark, x, f"{folder}/{name}")
+    lines = [f"Worker {worker}/{config.get('total_workers', 1)}", f"Task: {config.get('task', '')}", f"Runtime: {runtime.get('total_elapsed', 0.0):.2f}s"]
+    spark.createDataFrame([(x,) for x in lines], "value string").coalesce(1).write.mode("overwrite").text(f"{folder}/README.txt")
     return folder
 
 
+def write_failure(spark: SparkSession, base: str, worker: int, error: BaseException) -> None:
+    """errors.csv of a worker whose task failed as a whole."""
+    write_delimited(spark.createDataFrame([(f"{type(error).__name__}: {error}"[:2000],)], "error string"), f"{base}/worker_{worker}/errors.csv", ",")
+
+
 def merge_workers(spark: SparkSession, base: str, id_column: str) -> DataFrame:
     from millrace.operators.setops import union_checked
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import contextlib
 import dataclasses
 import sys
 import time
@@ -73,6 +74,32 @@ def entity_resolution(spark: SparkSession, c: C.Config) -> tuple[DataFrame, dict
     return spark.read.parquet(f"{where}/matching_results"), report
 
 
+class Timer:
+    """Seconds of named sections, which add up, and of all since the first began."""
+
+    def __init__(self):
+        self.began, self.sections, self.open = None, {}, {}
+
+    @contextlib.contextmanager
+    def section(self, name: str):
+        self.open[name] = time.time()
+        self.began = self.began or self.open[name]
+        try:
+            yield self
+        finally:
+            self.sections[name] = self.sections.get(name, 0.0) + time.time() - self.open.pop(name)
+
+    def elapsed(self, name: str) -> float:
+        return self.sections.get(name, 0.0) + (time.time() - self.open[name] if name in self.open else 0.0)
+
+    def summary(self) -> dict[str, float]:
+        return {**{k: round(v, 3) for k, v in self.sections.items()}, "total_elapsed": round(time.time() - self.began, 3) if self.began else 0.0}
+
+    def eta(self, done: int, total: int, name: str) -> float:
+        """Seconds that are left at the section's rate so far."""
+        return self.elapsed(name) / done * (total - done) if done > 0 else float("inf")
+
+
 TASKS = {"etl": etl, "ocr": ocr, "cv": cv, "nlp": nlp, "embeddings": embeddings, "baseline": baseline, "inference": inference, "entity_resolution": entity_resolution}
 
 
@@ -83,10 +110,16 @@ def run(c: C.Config, spark: SparkSession | None = None) -> str | None:
     if c.dry_run:
         return None
     spark = spark or session(f"millrace-{c.task}", **({"spark__sql__shuffle__partitions": str(c.shuffle_partitions)} if c.shuffle_partitions else {}))
-    began = time.time()
-    out, report = TASKS[c.task](spark, c)
-    folder = readers.write_worker(out, c.output_dir, c.worker_id, dataclasses.asdict(c), report, {})
-    readers.write_report(spark, {"seconds": round(time.time() - began, 3)}, f"{folder}/runtime")
+    timer = Timer()
+    try:
+        with timer.section(c.task):
+            out, report = TASKS[c.task](spark, c)
+        with timer.section("write"):
+            folder = readers.write_worker(out, c.output_dir, c.worker_id, dataclasses.asdict(c), report, timer.summary())
+    except Exception as e:
+        readers.write_failure(spark, c.output_dir, c.worker_id, e)
+        raise
+    readers.write_report(spark, timer.summary(), f"{folder}/runtime")
     return folder
 
 

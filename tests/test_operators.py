@@ -316,3 +316,83 @@ def test_rest_works_without_the_llm_files(tmp_path):
     shutil.copy("__spark_entry__.py", tmp_path)
     code = "import __spark_entry__ as e; q = e.queries(); assert 'er_end_to_end' in q and not any(k.startswith('op') for k in q) and 'pipeline' not in q; import millrace.worker"
     subprocess.run([sys.executable, "-c", code], cwd=tmp_path, check=True, env={k: v for k, v in __import__("os").environ.items() if k != "PYTHONPATH"})
+
+
+def test_quantiles_are_exact(spark, monkeypatch):
+    import random
+
+    import numpy as np
+
+    r = random.Random(1)
+    rows = [(r.choice([None, float("nan"), r.gauss(0, 1) ** 9, float(r.randrange(5))]), float(i % 3), 10.0 ** r.randint(-300, 300)) for i in range(600)]
+    df = spark.createDataFrame(rows, "a double, b double, c double")
+    shares = [0.0, 0.25, 0.5, 0.99, 1.0]
+    for near, error in ((20_000, 1e-4), (10, 0.05)):
+        monkeypatch.setattr(quality, "NEAR_ROWS", near)
+        monkeypatch.setattr(quality, "RANK_ERROR", error)
+        got = quality.quantiles(df, {c: F.col(c) for c in "abc"}, shares)
+        for k, c in enumerate("abc"):
+            assert np.allclose(got[c], np.quantile([x[k] for x in rows if x[k] is not None and x[k] == x[k]], shares), rtol=1e-12)
+    assert quality.quantiles(df.limit(0), {"a": F.col("a")}, [0.5]) == {"a": [None]}
+
+
+def test_ensembles_with_threshold_and_of_classes(spark):
+    part = lambda v: spark.createDataFrame(list(enumerate(v)), "id long, prediction double")
+    truth = spark.createDataFrame(list(enumerate([0, 0, 1, 1])), "id long, y int")
+    blend, best = metrics.ensemble_with_threshold([part([0.1, 0.4, 0.35, 0.8]), part([0.3, 0.2, 0.55, 0.6])], truth, "id", "prediction", "y")
+    assert [round(x.prediction, 3) for x in blend.orderBy("id").collect()] == [0.2, 0.3, 0.45, 0.7]
+    row = best.first()
+    assert row.f1 == 1.0 and 0.3 < row.threshold <= 0.45
+    blend, _ = metrics.ensemble_with_threshold([part([0.0, 1.0, 0.0, 1.0]), part([1.0, 0.0, 1.0, 0.0])], truth, "id", "prediction", "y", [3, 1])
+    assert [x.prediction for x in blend.orderBy("id").collect()] == [0.25, 0.75, 0.25, 0.75]
+    classes = spark.createDataFrame(list(enumerate([0, 1, 2, 2])), "id long, y int")
+    got = {r.model: (r.f1_macro, r.improves) for r in metrics.compare_ensemble([part([0.0, 1.0, 2.0, 0.0]), part([1.0, 1.0, 2.0, 3.0])], classes, "id", "prediction", "y", metric="f1_macro").collect()}
+    assert set(got) == {"model_0", "model_1", "ensemble"} and got["ensemble"] == (1.0, True)
+    half = {r.model: r.accuracy for r in metrics.compare_ensemble([part([0.5, 1.5, 2.5, 2.0])], classes, "id", "prediction", "y").collect()}
+    assert half["model_0"] == 0.75  # 0.5 -> 0, 1.5 -> 2, 2.5 -> 2
+
+
+def test_image_embeddings(spark):
+    df = spark.createDataFrame([(1, b"abc"), (2, None)], "id long, content binary")
+    assert [list(r.embedding) for r in providers.image_embeddings(df, "id", dim=3).orderBy("id").collect()] == [[0.0] * 3] * 2
+    got = providers.image_embeddings(df, "id", dim=2, model=lambda xs: [[float(len(x)), 1.0, 9.0] for x in xs]).orderBy("id").collect()
+    assert [list(r.embedding) for r in got] == [[3.0, 1.0], [0.0, 1.0]]
+
+
+def test_worker_folder_has_errors_readme_and_sections(spark, tmp_path):
+    base = str(tmp_path / "out")
+    df = spark.createDataFrame([(1, "a", None), (2, "", "Broken: x, \"y\"")], "id long, text string, error string")
+    readers.write_worker(df, base, 0, {"task": "ocr", "total_workers": 2}, {}, {"total_elapsed": 1.5})
+    assert [r.value for r in spark.read.text(f"{base}/worker_0/README.txt").collect()] == ["Worker 0/2", "Task: ocr", "Runtime: 1.50s"]
+    assert [tuple(r) for r in readers.extract(spark, f"{base}/worker_0/errors.csv").collect()] == [(2, "Broken: x, \"y\"")]
+    assert spark.read.parquet(f"{base}/worker_0/output.parquet").columns == ["id", "text"]
+    with pytest.raises(FileNotFoundError):
+        worker.run(config.Config(task="etl", input_dir=str(tmp_path / "none"), output_dir=base, worker_id=1, total_workers=2), spark)
+    assert "FileNotFoundError" in readers.extract(spark, f"{base}/worker_1/errors.csv").first().error
+    t = worker.Timer()
+    assert t.summary() == {"total_elapsed": 0.0} and t.eta(0, 5, "a") == float("inf")
+    with t.section("a"):
+        assert t.elapsed("a") >= 0 and t.eta(1, 3, "a") >= 0
+    assert set(t.summary()) == {"a", "total_elapsed"}
+
+
+@pytest.mark.parametrize(("rare", "rows"), [(3, 1000), (2, 0)])
+def test_top_k_matches_all_pairs(spark, monkeypatch, rare, rows):
+    import random
+
+    monkeypatch.setattr(tfidf, "RARE", rare)
+    monkeypatch.setattr(tfidf, "RARE_ROWS", rows)
+    r = random.Random(7)
+    word = lambda: "".join(r.choice("abcd") for _ in range(r.randint(2, 5)))
+    left, right = ([(f"{s}{i}", " ".join(word() for _ in range(r.randint(0, 3)))) for i in range(n)] for s, n in (("x", 30), ("y", 60)))
+    l, q = (spark.createDataFrame(d, "id string, name string") for d in (left, right))
+    both = l.select(F.concat(F.lit("l"), "id").alias("id"), "name").unionByName(q.select(F.concat(F.lit("r"), "id").alias("id"), "name"))
+    pair = l.select(F.concat(F.lit("l"), "id").alias("a")).crossJoin(q.select(F.concat(F.lit("r"), "id").alias("b")))  # 30 x 60, a test
+    want = {}
+    for x in tfidf.pair_cosine(pair, tfidf.postings(both)).collect():
+        if x.cosine > 0.2:
+            want.setdefault(x.a[1:], []).append((-round(x.cosine, 9), x.b[1:]))
+    got = {}
+    for x in tfidf.top_k(l, q, 4, 0.2).collect():
+        got.setdefault(x.a, []).append((-x.cosine, x.b))
+    assert {k: sorted(v) for k, v in got.items()} == {k: sorted(v)[:4] for k, v in want.items()}
