@@ -4,8 +4,6 @@ from __future__ import annotations
 
 import contextlib
 import ctypes
-import tempfile
-import uuid
 from collections.abc import Iterator
 
 import numpy as np
@@ -16,6 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 import millrace
 from millrace.llm.hashing import mix
+from millrace.session import shared_folder
 
 # Workers get functions by value, so executors need no copy of the package on their path.
 cloudpickle.register_pickle_by_value(millrace)
@@ -25,12 +24,8 @@ SLICE_BYTES = 1 << 20
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """A new folder below spark.checkpoint.dir, or below a temporary one where that is unset (local tests)."""
-    base = spark.conf.get("spark.checkpoint.dir", None)
-    if not base:
-        base = tempfile.mkdtemp(prefix="millrace-")
-        spark.conf.set("spark.checkpoint.dir", base)
-    return f"{base.rstrip('/')}/millrace-{uuid.uuid4().hex}"
+    """A new folder in the shared one that spark.checkpoint.dir names."""
+    return shared_folder(spark)
 
 
 def materialise(df: DataFrame, where: str, name: str, partition_by: list[str] | None = None) -> DataFrame:
