@@ -31,10 +31,16 @@ def null_report(df: DataFrame) -> DataFrame:
 
 
 def distinct_report(df: DataFrame, count_null: bool = False) -> DataFrame:
-    """Per column: column, distinct_values; count_null counts null as a value."""
-    extra = lambda c: F.max(F.col(c).isNull().cast("long")) if count_null else F.lit(0)
-    cols = {c: {"distinct_values": F.coalesce(F.countDistinct(c) + extra(c), F.lit(0)).cast("long")} for c in df.columns}
-    return _long(df, cols, ["distinct_values"])
+    """Per column: column, distinct_values; count_null counts null as a value.
+
+    An aggregate for each column reads that column only and shuffles its distinct values; several distinct counts in one aggregate would make
+    a row for each column of each row."""
+    out = None
+    for c in df.columns:
+        one = df.select(F.col(c).alias("v")).distinct().agg((F.count("v") + (F.count(F.lit(1)) - F.count("v") if count_null else 0)).cast("long").alias("distinct_values"))
+        one = one.select(F.lit(c).alias("column"), "distinct_values")
+        out = one if out is None else out.unionByName(one)
+    return out
 
 
 #: Rows between two bounds that are counted by value to find a quantile, and parts into which more rows are cut.
@@ -140,7 +146,11 @@ def validate(df: DataFrame, id_column: str | None = None, target: str | None = N
         out.append(("warning", "id_column_absent", id_column, 1.0))
     if target and not have_target:
         out.append(("warning", "target_absent", target, 1.0))
-    aggs = [F.count(F.lit(1)).alias("n"), *(F.sum(F.col(c).isNull().cast("long")).alias(f"null_{i}") for i, c in enumerate(df.columns)), *((F.countDistinct(c) + F.max(F.col(c).isNull().cast("long"))).alias(f"dist_{i}") for i, c in enumerate(df.columns))]
+    # One value throughout: the least is the greatest; values without an order are compared as JSON.
+    value = {f.name: F.to_json(F.struct(f.name)) if "map<" in f.dataType.simpleString() else F.col(f.name) for f in df.schema.fields}
+    aggs = [F.count(F.lit(1)).alias("n"), *(F.sum(F.col(c).isNull().cast("long")).alias(f"null_{i}") for i, c in enumerate(df.columns)), *(F.min(value[c]).eqNullSafe(F.max(value[c])).alias(f"same_{i}") for i, c in enumerate(df.columns))]
+    if have_id:
+        aggs.append(F.countDistinct(id_column).alias("ids"))
     r = df.agg(*aggs).first().asDict()  # one row
     n, nulls = r["n"], [r[f"null_{i}"] or 0 for i in range(len(df.columns))]
     if n == 0:
@@ -150,7 +160,7 @@ def validate(df: DataFrame, id_column: str | None = None, target: str | None = N
         if have_id:
             if nulls[at[id_column]]:
                 out.append(("error", "null_ids", id_column, float(nulls[at[id_column]])))
-            dup = n - r[f"dist_{at[id_column]}"]
+            dup = n - r["ids"] - (nulls[at[id_column]] > 0)
             if dup:
                 out.append(("warning", "duplicate_ids", id_column, float(dup)))
         if have_target and nulls[at[target]]:
@@ -158,7 +168,7 @@ def validate(df: DataFrame, id_column: str | None = None, target: str | None = N
         share = sum(nulls) / (n * len(df.columns))
         if share > 0.5:
             out.append(("warning", "mostly_null", "", round(share, 6)))
-        out += [("warning", "constant_column", c, 1.0) for c, i in at.items() if r[f"dist_{i}"] == 1]
+        out += [("warning", "constant_column", c, 1.0) for c, i in at.items() if r[f"same_{i}"] and nulls[i] in (0, n)]
     return spark.createDataFrame(out, "level string, check string, column string, value double")
 
 
