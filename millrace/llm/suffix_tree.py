@@ -261,23 +261,30 @@ def _unpack(b: bytes, dtype: str) -> np.ndarray:
     return np.ascontiguousarray(planes.reshape(t.itemsize, n).T).view(t).ravel()
 
 
-def _codes(out: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """The gram that ends at each place of a stream, and the number of its text."""
-    at = _places(ends)
-    code = out[at - DEPTH].astype(np.uint64)
-    for j in range(DEPTH - 1, -1, -1):
-        code <<= np.uint64(8)
-        code |= out[at - j]
-    return code, np.searchsorted(ends, at, side="right").astype(np.int32)
+def _codes(out: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The gram that ends at each place to predict of a stream, and where each text's places begin."""
+    ends = np.flatnonzero(out == END) + 1
+    code = out.astype(np.uint64)
+    code[1:] |= code[:-1] << np.uint64(8)  # grams of 2, 4 and then DEPTH + 1 symbols
+    code &= _low(2)
+    code[2:] |= code[:-2] << np.uint64(16)
+    code &= _low(4)
+    code[4:] |= (code[:-4] & _low(DEPTH - 3)) << np.uint64(32)
+    size = np.diff(np.append(0, ends)) - DEPTH
+    return code[_places(ends)], np.cumsum(size) - size
 
 
 def _bucket(grams: np.ndarray, buckets: int) -> np.ndarray:
-    return (mix((grams >> np.uint64(8)) & np.uint64(0xFFFF)) % np.uint64(buckets)).astype(np.int32)
+    return (mix((grams >> np.uint64(8)) & np.uint64(0xFFFF)) % np.uint64(buckets)).astype(np.int16 if buckets < 1 << 15 else np.int32)  # short ones sort faster
 
 
 def _runs(code: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Order of the places by gram, the distinct grams, and where each one's run starts."""
-    by = np.argsort(code)
+    """Order of the places by a hash of their gram, the grams of its runs of equal ones, and where each run starts. Sorts values (hash and
+    place in one number), not indices; where two grams' hashes agree, a gram may have several runs."""
+    bits = np.uint64(max(1, len(code).bit_length()))
+    low = (np.uint64(1) << bits) - np.uint64(1)
+    by = np.sort((mix(code) & ~low) | np.arange(len(code), dtype=np.uint64)) & low
+    by = by.astype(np.int64)
     k = code[by]
     cut = np.flatnonzero(np.append(True, k[1:] != k[:-1]))[: len(k)]
     return by, k[cut], cut
@@ -359,11 +366,15 @@ def _gram_requests(mod: int, rest: int, buckets: int):
         for b in batches:
             for i in range(b.num_rows):
                 ids, out = np.frombuffer(b.column(1)[i].as_py(), "<i8"), _unpack(b.column(2)[i].as_py(), "u1")
-                code, doc = _codes(out, np.flatnonzero(out == END) + 1)
-                by, grams, cut = _runs(code)
+                code, first = _codes(out)
+                code <<= np.uint64(1)  # the lowest bit: not for training
+                code |= np.repeat(_held(ids, mod, rest), np.diff(np.append(first, len(code)))).astype(np.uint64)
+                code.sort()
+                grams = code >> np.uint64(1)
+                cut = np.flatnonzero(np.append(True, grams[1:] != grams[:-1]))[: len(grams)]
+                counts = np.add.reduceat(~code.astype(np.uint8) & np.uint8(1), cut, dtype=np.uint32)
+                grams = grams[cut]
                 del code
-                counts = np.add.reduceat((~_held(ids, mod, rest))[doc[by]].astype(np.uint32), cut)
-                del by, doc
                 bucket = _bucket(grams, buckets)
                 by = np.argsort(bucket, kind="stable")
                 grams, counts, bucket = grams[by], counts[by].astype("<u4"), bucket[by]
@@ -517,17 +528,20 @@ def _finish(mod: int, rest: int, tokens: int, distinct: int, ends_seen: int, sha
 
         def total(out: np.ndarray, answers: list[dict]) -> np.ndarray:
             """Each text's sum over its places; the longest kept suffix of one symbol or none is the batch's own look-up."""
-            code, doc = _codes(out, np.flatnonzero(out == END) + 1)
-            by, grams, cut = _runs(code)
-            texts, sizes = int(doc[-1]) + 1, np.diff(np.append(cut, len(code)))
+            code, first = _codes(out)
+            by, runs, cut = _runs(code)
+            sizes = np.diff(np.append(cut, len(code)))
             del code
+            grams, back = np.unique(runs, return_inverse=True)
             order = np.argsort(_bucket(grams, buckets), kind="stable")
             value = np.empty(len(grams), np.float32)
             value[order] = np.concatenate([_unpack(x["c"], "<f4") for x in sorted(answers, key=lambda x: x["bucket"])])
             short = np.flatnonzero(np.isnan(value))
             before, last = ((grams[short] >> np.uint64(8)) & np.uint64(255)).astype(np.int64), (grams[short] & np.uint64(255)).astype(np.int64)
             value[short] = np.log10(np.where(kept[before], one[before, last], root[last]))
-            return np.bincount(doc[by], weights=np.repeat(value, sizes), minlength=texts)
+            place = np.empty(len(by))
+            place[by] = np.repeat(value[back], sizes)
+            return np.add.reduceat(place, first)
 
         for b in batches:
             for i in range(b.num_rows):

@@ -53,6 +53,24 @@ def test_tree_is_proper_and_scores_by_longest_suffix(spark, monkeypatch):
         assert math.isclose(got[i], want, rel_tol=1e-6)
 
 
+@pytest.mark.parametrize("gain", [10.0, 1.0])
+def test_scores_match_a_tree_of_dictionaries(spark, monkeypatch, gain):
+    monkeypatch.setattr(suffix_tree, "GAIN", gain)
+    texts = corpus()[:-40]
+    texts = [t for t in texts if t is None or len(t) < 3000]
+    train = [t for i, t in enumerate(texts) if zlib.crc32(str(i).encode()) % 7 != 2]
+    want = brute.tree_scores(train, texts, suffix_tree.DEPTH, suffix_tree.LEAST_COUNT, gain, suffix_tree.SMOOTH)
+    got = {x.doc_id: x.score for x in suffix_tree.score(frame(spark, texts).repartition(3)).collect()}
+    assert all(math.isclose(got[i], w, rel_tol=1e-5, abs_tol=1e-5) for i, w in enumerate(want))
+
+
+def test_places_sorted_by_value_give_the_same_runs():
+    code = np.random.default_rng(3).integers(0, 1 << 20, 5000).astype(np.uint64) << np.uint64(30)
+    by, grams, cut = suffix_tree._runs(code)
+    assert sorted(by.tolist()) == list(range(5000))
+    assert (np.repeat(grams, np.diff(np.append(cut, 5000))) == code[by]).all()
+
+
 def test_edges(spark):
     assert suffix_tree.score(frame(spark, ["x"]).limit(0)).count() == 0
     rows = spark.createDataFrame([(None, "a b"), (5, None), (5, None)], "doc_id long, text string")
