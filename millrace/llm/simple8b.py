@@ -9,12 +9,14 @@ A file is a Parquet file of segments (written by Spark, so on any store): one ro
 the document ids, their id counts and the segment.
 
 Defined results: null text is an empty text (only its end id); empty table gives no rows; repeated doc_ids keep each row,
-in any order among themselves; other columns are ignored.
+in any order among themselves; rows without a doc_id (or with the least long) come first and are read back with null; other columns
+are ignored, whatever their names.
 """
 
 from __future__ import annotations
 
 import struct
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -31,6 +33,10 @@ ESCAPE = 15
 BLOCK = 512
 #: Ids after which a segment ends; a longer document makes a longer segment of its own.
 SEGMENT_IDS = 1 << 20
+#: Ids that one batch of read documents holds, or one longer document.
+READ_IDS = 1 << 24
+#: Stands for a missing doc_id in files.
+NO_ID = -(2**63)
 _HEAD = "<4sHHQII"
 _HEAD_BYTES = struct.calcsize(_HEAD)
 
@@ -180,15 +186,16 @@ def write_files(docs: DataFrame, path: str, vocabulary: str, end_id: int = 1, te
 
     n = partitions or shuffle_partitions(docs.sparkSession)
     (
-        docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
+        docs.select(F.coalesce(F.col(doc_id).cast("long"), F.lit(NO_ID)).alias("doc_id"), F.col(text).alias("text"))
         .repartitionByRange(n, "doc_id").sortWithinPartitions("doc_id")
         .mapInArrow(run, SEGMENT_SCHEMA)
         .write.mode("overwrite").parquet(path)
     )
 
 
-def read_files(spark, path: str) -> DataFrame:
-    """Per document: doc_id, start, n_tokens, ids (uint32, little endian, as binary) from the files under `path`."""
+def read_files(spark, path: str, ids: bool = True) -> DataFrame:
+    """Per document: doc_id, start, n_tokens, ids_crc32 (unsigned, of the ids as little-endian uint32) and, with ids, ids (that
+    binary) from the files under `path`."""
     files = spark.read.schema(SEGMENT_SCHEMA).parquet(path)
     # One small row per segment: segments hold about 2**20 ids, and their starts are summed in two levels.
     from pyspark.sql import Window
@@ -203,33 +210,31 @@ def read_files(spark, path: str) -> DataFrame:
         for b in batches:
             for i in range(b.num_rows):
                 row = b.slice(i, 1).to_pylist()[0]
-                ids = decode(row["segment"]).astype("<u4")
-                lens = np.frombuffer(row["lens"], "<i8")
+                data = memoryview(decode(row["segment"]).astype("<u4").tobytes())
+                docs, lens = np.frombuffer(row["doc_ids"], "<i8"), np.frombuffer(row["lens"], "<i8")
                 ends = np.cumsum(lens)
-                data = ids.tobytes()
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array([row["part"]] * len(lens), pa.int64()), pa.array([row["seq"]] * len(lens), pa.int64()),
-                        pa.array(np.frombuffer(row["doc_ids"], "<i8")), pa.array(ends - lens), pa.array(lens),
-                        pa.Array.from_buffers(pa.binary(), len(lens), [None, pa.py_buffer(np.concatenate([[0], ends * 4]).astype("<i4").tobytes()), pa.py_buffer(data)]),
-                    ],
-                    ["part", "seq", "doc_id", "inner", "n_tokens", "ids"],
-                )
-
-    rows = files.select("part", "seq", "lens", "doc_ids", "segment").mapInArrow(run, "part long, seq long, doc_id long, inner long, n_tokens long, ids binary")
-    return rows.join(starts, ["part", "seq"]).select("doc_id", (F.col("seg_start") + F.col("inner")).alias("start"), "n_tokens", "ids")
-
-
-def crc32_of(ids: str = "ids"):
-    """Unsigned CRC-32 of a binary column; a JVM built-in."""
-    return F.crc32(F.col(ids)).cast("long")
+                at = 0
+                while at < len(lens):  # as many documents as READ_IDS allows, or one longer
+                    to = max(at + 1, int(np.searchsorted(ends, ends[at] - lens[at] + READ_IDS, side="right")))
+                    own = [data[4 * (z - n) : 4 * z] for z, n in zip(ends[at:to].tolist(), lens[at:to].tolist(), strict=True)]
+                    n = to - at
+                    columns = [
+                        pa.array([row["part"]] * n, pa.int64()), pa.array([row["seq"]] * n, pa.int64()), pa.array(docs[at:to], mask=docs[at:to] == NO_ID), pa.array((ends - lens)[at:to]), pa.array(lens[at:to]),
+                        pa.array([zlib.crc32(x) for x in own], pa.int64()), *([pa.array([bytes(x) for x in own], pa.binary())] if ids else []),
+                    ]
+                    yield pa.RecordBatch.from_arrays(columns, ["part", "seq", "doc_id", "inner", "n_tokens", "ids_crc32", *(["ids"] if ids else [])])
+                    at = to
+
+    schema = "part long, seq long, doc_id long, inner long, n_tokens long, ids_crc32 long" + (", ids binary" if ids else "")
+    rows = files.select("part", "seq", "lens", "doc_ids", "segment").mapInArrow(run, schema)
+    return rows.join(starts, ["part", "seq"]).select("doc_id", (F.col("seg_start") + F.col("inner")).alias("start"), "n_tokens", "ids_crc32", *(["ids"] if ids else []))
 
 
 def round_trip(docs: DataFrame, vocabulary: str, end_id: int = 1) -> DataFrame:
     """The contract's digest: writes the files to the shared folder, reads them back, one row per document."""
     path = shared_dir(docs.sparkSession) + "/simple8b"
     write_files(docs, path, vocabulary, end_id)
-    return read_files(docs.sparkSession, path).select("doc_id", "start", "n_tokens", crc32_of().alias("ids_crc32"))
+    return read_files(docs.sparkSession, path, ids=False)
 
 
 __all__ = ["decode", "encode", "read_files", "round_trip", "write_files"]
