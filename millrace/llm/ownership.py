@@ -2,11 +2,13 @@
 
 Every text is scanned for three base kinds (assign, access, hex) and for random-looking tokens. Each candidate's value
 is hashed; the hashes are aggregated over the corpus by distinct owners and repositories. A value that several owners
-hold, or that EXAMPLE_REPOS repositories of one owner hold, is a widely copied example; another value of one owner, with the entropy of a random string, looks live. Random-looking
-tokens outside the base spans are reported as spans of kind `live` only if they are owner-specific.
+hold, or that EXAMPLE_REPOS repositories of one owner hold, is a widely copied example; another value of one owner, with the entropy of
+a random string, looks live; what is neither is weak. Random-looking tokens outside the base spans are reported as spans of kind `live`
+only if they are owner-specific. Base spans stay, whatever their verdict; `verdicts` has it for each span.
 
-Defined results: a null or empty text has no spans; a null owner or repository counts as one of its own; repeated
-doc_ids keep a row each; an empty table gives no rows; other columns are ignored.
+Counts are taken per (value, owner, repository) before the shuffle; the few rows of a value that very many documents hold are split by
+Spark's skew join. Defined results: a null or empty text has no spans; a null owner or repository counts as one of its own; repeated
+doc_ids keep a row each, a missing one is null; an empty table gives no rows; other columns are ignored, whatever their names.
 """
 
 from __future__ import annotations
@@ -53,10 +55,12 @@ def base_spans(text: str) -> list[tuple[int, int, int, str]]:
 
 def token_spans(text: str, taken: list[tuple[int, int, int, str]]) -> list[tuple[int, int, str]]:
     """Random-looking tokens that overlap no base span."""
-    out = []
+    out, i, reached = [], 0, 0  # reached: the furthest end of the base spans that begin before the token's end
     for m in _TOKEN.finditer(text):
         v = m[0]
-        if any(c.isdigit() for c in v) and any(c.isupper() for c in v) and any(c.islower() for c in v) and entropy(v) >= TOKEN_ENTROPY and not any(a < m.end() and m.start() < b for a, _, b, _ in taken):
+        while i < len(taken) and taken[i][0] < m.end():
+            reached, i = max(reached, taken[i][2]), i + 1
+        if reached <= m.start() and any(c.isdigit() for c in v) and any(c.isupper() for c in v) and any(c.islower() for c in v) and entropy(v) >= TOKEN_ENTROPY:
             out.append((m.start(), m.end(), v))
     return out
 
@@ -93,8 +97,9 @@ def ownership(cands: DataFrame) -> DataFrame:
 
 
 def scan(docs: DataFrame, owner: str = "source", repo: str = "lang", example_owners: int = EXAMPLE_OWNERS, example_repos: int = EXAMPLE_REPOS) -> DataFrame:
-    """Per document: base counts and digest, spans, n_live (owner-specific, random-looking) and n_example; max_owners, max_repos
-    and max_uses: the most owners, repositories and uses of one of its values, 0 without any.
+    """Per document: base counts and digest, spans, verdicts (live, example or weak, of each span in the same order), n_live
+    (owner-specific, random-looking) and n_example; max_owners, max_repos and max_uses: the most owners, repositories and uses of one of
+    its values, 0 without any.
 
     owner: the column that names the owner; a repository is an owner's value of `repo`."""
     where = shared_dir(docs.sparkSession)
@@ -108,12 +113,12 @@ def scan(docs: DataFrame, owner: str = "source", repo: str = "lang", example_own
     per_row = judged.groupBy("row").agg(
         F.sum(F.col("live").cast("long")).alias("n_live"),
         F.sum(F.col("example").cast("long")).alias("n_example"),
-        F.collect_list(F.when((F.col("kind") < 3) | F.col("live"), F.struct("start", "kind", "end"))).alias("s"),
+        F.collect_list(F.when((F.col("kind") < 3) | F.col("live"), F.struct("start", "kind", "end", F.expr("case when live then 'live' when example then 'example' else 'weak' end").alias("verdict")))).alias("s"),
         *(F.max(c).alias(f"max_{c}") for c in ("owners", "repos", "uses")),
     )
     text = F.expr("array_join(transform(array_sort(s), x -> concat_ws(':', element_at(array('assign', 'access', 'hex', 'live'), x.kind + 1), x.start, x.end)), ',')")
     return rows.join(per_row, "row", "left").select(
-        "doc_id", "n_assign", "n_access", "n_hex", "base_sha256", F.coalesce(text, F.lit("")).alias("spans"),
+        "doc_id", "n_assign", "n_access", "n_hex", "base_sha256", F.coalesce(text, F.lit("")).alias("spans"), F.coalesce(F.expr("array_join(transform(array_sort(s), x -> x.verdict), ',')"), F.lit("")).alias("verdicts"),
         F.coalesce("n_live", F.lit(0)).alias("n_live"), F.coalesce("n_example", F.lit(0)).alias("n_example"),
         *(F.coalesce(c, F.lit(0)).alias(c) for c in ("max_owners", "max_repos", "max_uses")),
     )

@@ -140,3 +140,70 @@ def ids_of(texts: list, end: int) -> list:
 
 def crc(ids: list) -> int:
     return zlib.crc32(b"".join(i.to_bytes(4, "little") for i in ids))
+
+
+def merkle(text: str | None) -> str:
+    md5 = lambda x: hashlib.md5(x.encode()).hexdigest()
+    heads, parts = [], []
+    for section in re.split(r"(?<=\n\n)(?!\n)", text or ""):
+        paras, shown = [], []
+        for para in re.split(r"(?<=\n)", section):
+            leaves = []
+            for x in re.split("(?<=[.!?|;:] )|(?<=[\u3002\uff01\uff1f])", para):
+                leaves += [x] if len(x) <= 32 else re.findall(r"(?a:\S{1,64}+\s*+|\s++){1,32}+", x)
+            leaves = [md5(x) for x in leaves]
+            paras.append(md5(",".join(leaves)))
+            shown.append(paras[-1][:8] + ":" + ",".join(x[:8] for x in leaves))
+        heads.append(md5(",".join(paras)))
+        parts.append(heads[-1][:16] + "{" + "/".join(shown) + "}")
+    return sha(",".join(heads)) + ";" + ";".join(parts)
+
+
+def likeness(a: str, b: str) -> float:
+    x, y = (set(re.findall("[0-9a-f]{8}(?=[,/}])", f)) for f in (a, b))
+    return 1.0 if a[:64] == b[:64] else 2 * len(x & y) / (len(x) + len(y))
+
+
+def first_difference(a: str, b: str) -> str | None:
+    if a[:64] == b[:64]:
+        return None
+    tree = lambda f: [[p[9:].split(",") for p in s[17:-1].split("/")] for s in f.split(";")[1:]]
+    at = []
+    x, y = tree(a), tree(b)
+    for _ in range(3):
+        i = next((i for i in range(max(len(x), len(y))) if x[i : i + 1] != y[i : i + 1]), len(y))
+        at.append(i)
+        x, y = ((z[i] if i < len(z) else []) for z in (x, y))
+    return "/".join(map(str, at))
+
+
+def tree_scores(train: list, texts: list, depth: int, least: int, gain: float, smooth: float) -> list[float]:
+    """Scores by a suffix tree of dictionaries: contexts are byte strings, the last symbol before a place last."""
+    import math
+    from collections import Counter, defaultdict
+
+    marks, end = b"\t" * depth, b"\n"
+    symbols = lambda t: marks + " ".join(WORD.findall(lower(t))).encode() + end
+    seen = defaultdict(Counter)
+    for t in train:
+        s = symbols(t)
+        for i in range(depth, len(s)):
+            for d in range(depth + 1):
+                seen[s[i - d : i]][s[i]] += 1
+    root = {x: (seen[b""][x] + 1) / (sum(seen[b""].values()) + 256) for x in range(256)}
+
+    def p(ctx: bytes, x: int) -> float:
+        if not ctx:
+            return root[x]
+        n = seen[ctx] if ctx in seen else Counter()
+        return (n[x] + smooth * p(ctx[1:], x)) / (sum(n.values()) + smooth)
+
+    kept = {b""}
+    for ctx, n in list(seen.items()):
+        if ctx and (len(ctx) == 1 or sum(n.values()) >= least) and sum(c * math.log(p(ctx, x) / p(ctx[1:], x)) for x, c in n.items()) >= gain:
+            kept |= {ctx[i:] for i in range(len(ctx) + 1)}
+    out = []
+    for t in texts:
+        s = symbols(t)
+        out.append(sum(math.log10(p(next(s[i - d : i] for d in range(depth, -1, -1) if s[i - d : i] in kept), s[i])) for i in range(depth, len(s))))
+    return out

@@ -139,19 +139,48 @@ def test_merkle(spark, rows, monkeypatch):
         edited = t[: len(t) - half] + u[:half]
         x = got[i + 5]
         assert (x.n_chars, x.edited_sha256) == (len(t), hashlib.sha256(edited.encode()).hexdigest())
-        assert (x.fingerprint == x.edited_fingerprint) == (t == edited) and 0 <= x.near_edited <= 1
-        assert (x.near_edited == 1.0) or t != edited
-        assert x.near_next == 1.0 or got[5 + (i + 1) % rows].fingerprint != x.fingerprint
+        f, g = brute.merkle(t), brute.merkle(edited)
+        assert (x.fingerprint, x.edited_fingerprint) == (f, g) and (f == g) == (t == edited)
+        assert x.near_edited == pytest.approx(brute.likeness(f, g)) and x.near_next == pytest.approx(brute.likeness(f, brute.merkle(u)))
+        assert x.edit_at == brute.first_difference(f, g)
+
+
+def test_merkle_of_any_text(spark):
+    import time
+
+    texts = [*brute.EDGE, "no marks " * 500, "x" * 5000, "\u6f22\u5b57\u3002" * 300 + "\u5b57" * 3000, "\n\n\n a\n\n\n\n b. c\n", " \t " * 200, "line one\n" * 3000, "a\n\n" * 2000, "word " * 200_000]
+    began = time.time()
+    got = {x.doc_id: x for x in merkle.compare(frame(spark, texts)).collect()}
+    assert time.time() - began < 60
+    for i, t in enumerate(texts):
+        assert got[i].fingerprint == brute.merkle(t)
+    assert got[len(brute.EDGE)].near_edited > 0.3  # a text without marks has leaves, too
 
 
 def test_merkle_edges(spark):
     assert merkle.compare(frame(spark, ["x"]).limit(0)).count() == 0
-    twice = frame(spark, ["b", "a"]).selectExpr("cast(7 as long) doc_id", "text", "1 as fingerprint")
+    twice = frame(spark, ["b", "a"]).selectExpr("cast(7 as long) doc_id", "text", "1 as fingerprint", "2 as _range", "3 as next_text", "4 as edited")
     got = sorted((r.doc_id, r.n_chars, r.near_next) for r in merkle.compare(twice).collect())
     assert got == [(7, 1, 0.0), (7, 1, 0.0)]
-    one = merkle.add_fingerprint(frame(spark, ["a. b\nc\n\nd"]).withColumn("text2", __import__("pyspark").sql.functions.lit("a. b\nX\n\nd")), "text", "f")
-    row = merkle.changed(merkle.add_fingerprint(one, "text2", "g"), "f", "g").first()
-    assert row.changed_sections == [0] and row.changed_paragraphs == ["0/1"]
+    one = merkle.add_fingerprint(frame(spark, ["a. b\nc\n\nd"]).selectExpr("text", "'a. b\\nX\\n\\nd' as text2"), "text", "f")
+    row = merkle.add_fingerprint(one, "text2", "g").selectExpr(f"{merkle.first_difference('f', 'g')} as at", f"{merkle.first_difference('f', 'f')} as same").first()
+    assert (row["at"], row.same) == ("0/1/0", None)
+    nulls = spark.createDataFrame([(None, "a"), (None, None), (3, "c")], "doc_id long, text string")
+    assert sorted(((x.doc_id, x.n_chars) for x in merkle.compare(nulls).collect()), key=str) == sorted([(None, 1), (None, 0), (3, 1)], key=str)
+
+
+def test_secrets_in_a_long_text_are_linear(spark):
+    import time
+
+    text = " ".join(f"token=abcdefgh{i} Zx9Kq27TbLm4VwR8yN{i:05d}" for i in range(20_000))
+    began = time.time()
+    base = ownership.base_spans(text)
+    found = ownership.token_spans(text, base)
+    assert len(base) == 20_000 and len(found) == 20_000 and time.time() - began < 5
+    assert not ownership.token_spans("token=Zx9Kq27TbLm4VwR8yNc3", ownership.base_spans("token=Zx9Kq27TbLm4VwR8yNc3"))
+    docs = spark.createDataFrame([(None, "token=abcdefgh1 Zx9Kq27TbLm4VwR8yNc3", 1, 2), (1, None, 1, 2)], "doc_id long, text string, h int, row int")
+    got = {x.doc_id: (x.spans, x.verdicts) for x in ownership.scan(docs).collect()}
+    assert got == {None: ("assign:0:15,live:16:36", "live,live"), 1: ("", "")}
 
 
 def test_pii_of_many_spans_is_linear_and_scored(spark):
