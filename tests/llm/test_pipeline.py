@@ -1,3 +1,4 @@
+import math
 import re
 
 import corpus_pipeline as cp
@@ -5,6 +6,7 @@ import pytest
 
 from millrace.llm import nbsvm
 from tests.llm import brute
+from tests.llm.test_quality import one_by_one
 
 SF = "/root/testdata/sf0.001"
 
@@ -49,6 +51,11 @@ def test_each_stage_against_brute_force(spark, tmp_path, extra):
         got = {r.doc_id for r in rows}
         if name == "quality":
             assert got == good and len(good) > 100
+            for d, r in before.items():  # the score of short texts, feature by feature
+                if len(r.text or "") < 400:
+                    own = one_by_one(r.text)
+                    margin = sum(float(model["w"][x]) for x in own) / max(1e-12, math.sqrt(sum(float(model["ratio"][x]) ** 2 for x in own))) + model["bias"]
+                    assert (d in got) == (model["a"] * margin + model["b"] >= 0) or abs(model["a"] * margin + model["b"]) < 1e-4
         elif name == "near_duplicates":
             comp = brute.components({d: r.text for d, r in before.items()})
             assert got == {d for d, (_, c) in comp.items() if c == d} and len(rows) == len(got) < len(before)
@@ -61,6 +68,7 @@ def test_each_stage_against_brute_force(spark, tmp_path, extra):
         else:
             ids = brute.ids_of([r.text for r in before.values()], 0)
             assert {d: len(x) for d, x in zip(before, ids, strict=True)} == {d: sum(r.length for r in rows if r.doc_id == d) for d in got}
+            assert len({r.sequence_id for r in rows}) <= 1.02 * sum(map(len, ids)) / 2048 + 1
             assert all(r.ids_crc32 == brute.crc(dict(zip(before, ids, strict=True))[r.doc_id][r.start : r.start + r.length]) for r in rows)
 
 
