@@ -396,3 +396,25 @@ def test_top_k_matches_all_pairs(spark, monkeypatch, rare, rows):
     for x in tfidf.top_k(l, q, 4, 0.2).collect():
         got.setdefault(x.a, []).append((-x.cosine, x.b))
     assert {k: sorted(v) for k, v in got.items()} == {k: sorted(v)[:4] for k, v in want.items()}
+
+
+def test_top_k_makes_no_pairs_of_copies(spark, monkeypatch):
+    """Vectors are made of distinct names, however many rows have them; rows, ties among copies and repeated ids come out as from all pairs."""
+    made, postings = [], tfidf.postings
+    monkeypatch.setattr(tfidf, "postings", lambda names, m=None: (made.append(names.count()), postings(names, m))[1])
+    base = ["alpha beta", "beta alpha", "alpha betas", "gamma", "gamma ray", "delta", "", None, "alpha beta gamma"]
+    left = [(f"x{i}", base[i % 9]) for i in range(45)] + [("x1", "delta")]  # an id with two names is one document
+    right = [(f"y{i}", base[i * 2 % 9]) for i in range(63)]
+    l, q = (spark.createDataFrame(d, "id string, name string") for d in (left, right))
+    got = {}
+    for x in tfidf.top_k(l, q, 4, 0.2).collect():
+        got.setdefault(x.a, []).append((-x.cosine, x.b))
+    assert made == [9]  # 8 of base, as null is '', and the one of two names
+    tag = lambda d, s: d.select(F.concat(F.lit(s), "id").alias("id"), "name")
+    pair = tag(l, "l").select(F.col("id").alias("a")).distinct().crossJoin(tag(q, "r").select(F.col("id").alias("b")))  # 45 x 63, a test
+    want = {}
+    for x in tfidf.pair_cosine(pair, postings(tag(l, "l").unionByName(tag(q, "r")))).collect():
+        if x.cosine > 0.2:
+            want.setdefault(x.a[1:], []).append((-round(x.cosine, 9), x.b[1:]))
+    assert {k: sorted(v) for k, v in got.items()} == {k: sorted(v)[:4] for k, v in want.items()}
+    assert tfidf.top_k(l.limit(0), q, 4).count() == 0 and tfidf.top_k(l, q.limit(0), 4).count() == 0
