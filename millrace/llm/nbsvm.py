@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm.common import int_column, materialise, only, shared_dir, slices
+from millrace.llm.common import int_column, materialise, only, release, shared_dir, slices
 from millrace.llm.hashing import SPACED, gram_hashes, mix, word_bounds, word_hashes
 
 BITS = 18
@@ -188,39 +188,8 @@ def _platt(margin: np.ndarray, label: np.ndarray) -> tuple[float, float]:
     return float(max(a, 1e-6)), float(b)
 
 
-def fit(docs: DataFrame, labels: DataFrame, label: str = "quality", mod: int = 3, rest: int = 1, fit_rows: int = FIT_ROWS) -> dict:
-    """Learns from labelled rows whose crc32(doc_id) mod `mod` isn't `rest`. A doc_id labelled twice with different
-    labels teaches nothing."""
-    spark = docs.sparkSession
-    train = labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col(label).cast("long").alias("label")).where(f"doc_id is not null and label in (0, 1) and crc32(cast(cast(doc_id as string) as binary)) % {mod} != {rest}")
-    train = train.groupBy("doc_id").agg(F.min("label").alias("label"), F.max("label").alias("_other")).where("label = _other").drop("_other")
-    # The fit sample: the fit_rows smallest hashes of each class, found by a threshold (a sort of two small groups would do, but this needs no shuffle of texts).
-    train = train.withColumn("rank", F.xxhash64("doc_id"))
-    cuts = {}
-    for c in (0, 1):
-        top = train.where(F.col("label") == c).select("rank").orderBy("rank").limit(fit_rows).agg(F.max("rank")).first()[0]
-        cuts[c] = -(2**63) if top is None else top
-    train = train.withColumn("chosen", F.col("rank") <= F.when(F.col("label") == 1, F.lit(cuts[1])).otherwise(F.lit(cuts[0])))
-    # Texts without a training label stay where they are: a bit map of the labelled ids tells nearly all of them.
-    texts = only(docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(-(2**63))).alias("doc_id"), F.col("text").cast("string").alias("text")), train, "doc_id")
-    known = texts.join(train, "doc_id").select("text", "label", "rank", "chosen")
-    where = shared_dir(spark)
-    counted = materialise(known.mapInArrow(_count, "kind int, data binary, place long"), where, "counts")
-    totals = counted.where("kind >= 2").repartition(16, "kind", "place").mapInArrow(_total, "kind int, data binary, place long").collect()  # 2 * DIM numbers
-    y, sizes, parts = [], [], []
-    for kind, data, _ in counted.where("kind < 2").orderBy("place").toLocalIterator():  # 2 * fit_rows rows at most
-        y.append(kind)
-        sizes.append(len(data) // 4)
-        parts.append(bytes(data))
-    y, sizes, index = np.array(y), np.array(sizes, np.int64), np.frombuffer(b"".join(parts), "<i4")
-    parts.clear()
-    counts, n = np.zeros((2, DIM)), np.zeros(2)
-    for kind, data, place in totals:
-        x = np.frombuffer(data, "<i8")
-        if kind >= 4:
-            n[kind - 4] = x[0]
-        else:
-            counts[kind - 2][place : place + DIM // 8] = x
+def learn(y: np.ndarray, sizes: np.ndarray, index: np.ndarray, counts: np.ndarray, n: np.ndarray) -> dict:
+    """The model of the fit's rows (labels y, places of each end to end) and the counts of all rows by class."""
     if min(n) == 0:
         share = 0.5 if n.sum() == 0 else float(n[1] / n.sum())
         return {"w": np.zeros(DIM, np.float32), "bias": float(np.log(max(share, 1e-9) / max(1 - share, 1e-9))), "a": 1.0, "b": 0.0, "ratio": np.zeros(DIM, np.float32)}
@@ -247,6 +216,53 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "quality", mod: int = 3
     return {"w": (w[:-1] * ratio).astype(np.float32), "bias": float(w[-1]), "a": a, "b": b, "ratio": ratio.astype(np.float32)}
 
 
+def _learn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """One row, the model, of all rows of _count's fit sample and of _total."""
+    sample, counts, n = [], np.zeros((2, DIM)), np.zeros(2)
+    for batch in batches:
+        for kind, data, place in zip(*(batch.column(i).to_pylist() for i in range(3)), strict=True):
+            if kind < 2:
+                sample.append((place, kind, data))
+            elif kind >= 4:
+                n[kind - 4] = np.frombuffer(data, "<i8")[0]
+            else:
+                counts[kind - 2][place : place + DIM // 8] = np.frombuffer(data, "<i8")
+    sample.sort()
+    y, sizes = np.array([k for _, k, _ in sample], np.int64), np.array([len(d) // 4 for _, _, d in sample], np.int64)
+    index = np.frombuffer(b"".join(d for _, _, d in sample), "<i4")
+    sample.clear()
+    m = learn(y, sizes, index, counts, n)
+    yield pa.RecordBatch.from_arrays([pa.array([m[k].astype("<f4").tobytes()], pa.binary()) for k in ("w", "ratio")] + [pa.array([m[k]], pa.float64()) for k in ("bias", "a", "b")], ["w", "ratio", "bias", "a", "b"])
+    release()
+
+
+def fit(docs: DataFrame, labels: DataFrame, label: str = "quality", mod: int = 3, rest: int = 1, fit_rows: int = FIT_ROWS) -> dict:
+    """Learns from labelled rows whose crc32(doc_id) mod `mod` isn't `rest`. A doc_id labelled twice with different
+    labels teaches nothing."""
+    spark = docs.sparkSession
+    train = labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col(label).cast("long").alias("label")).where(f"doc_id is not null and label in (0, 1) and crc32(cast(cast(doc_id as string) as binary)) % {mod} != {rest}")
+    train = train.groupBy("doc_id").agg(F.min("label").alias("label"), F.max("label").alias("_other")).where("label = _other").drop("_other")
+    # The fit sample: the fit_rows smallest hashes of each class, found by a threshold (a sort of two small groups would do, but this needs no shuffle of texts).
+    train = train.withColumn("rank", F.xxhash64("doc_id"))
+    cuts = {}
+    for c in (0, 1):
+        top = train.where(F.col("label") == c).select("rank").orderBy("rank").limit(fit_rows).agg(F.max("rank")).first()[0]
+        cuts[c] = -(2**63) if top is None else top
+    train = train.withColumn("chosen", F.col("rank") <= F.when(F.col("label") == 1, F.lit(cuts[1])).otherwise(F.lit(cuts[0])))
+    # Texts without a training label stay where they are: a bit map of the labelled ids tells nearly all of them.
+    texts = only(docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(-(2**63))).alias("doc_id"), F.col("text").cast("string").alias("text")), train, "doc_id")
+    known = texts.join(train, "doc_id").select("text", "label", "rank", "chosen")
+    where = shared_dir(spark)
+    counted = materialise(known.mapInArrow(_count, "kind int, data binary, place long"), where, "counts")
+    totals = counted.where("kind >= 2").repartition(16, "kind", "place").mapInArrow(_total, "kind int, data binary, place long")  # 2 * DIM numbers
+    # One task learns, of 2 * fit_rows rows and 2 * DIM numbers at most: the driver has less memory, and gets the model only.
+    learned = counted.where("kind < 2").unionByName(totals).repartition(1).mapInArrow(_learn, "w binary, ratio binary, bias double, a double, b double").collect()
+    if not learned:  # no partition, no row
+        return learn(np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, "<i4"), np.zeros((2, DIM)), np.zeros(2))
+    w, ratio, bias, slope, shift = learned[0]
+    return {"w": np.frombuffer(w, "<f4"), "bias": bias, "a": slope, "b": shift, "ratio": np.frombuffer(ratio, "<f4")}
+
+
 def score(docs: DataFrame, model: dict) -> DataFrame:
     """docs' columns plus score (probability of label 1)."""
     held = docs.sparkSession.sparkContext.broadcast(model)

@@ -119,3 +119,21 @@ def test_extra_columns_and_missing_ids(spark):
     got = nbsvm.score(docs, model)
     assert got.columns == ["doc_id", "text", "label", "score"] and got.count() == 2
     assert nbsvm.score(docs.limit(0), nbsvm.fit(docs.limit(0), spark.createDataFrame([], "doc_id long, quality int"))).count() == 0
+
+
+def test_the_driver_does_not_learn(spark, monkeypatch):
+    """The fit's rows take hundreds of MB, which the driver need not have: it gets the model only."""
+    import os
+
+    driver, descent = os.getpid(), nbsvm.dual_descent
+
+    def elsewhere(*a, **b):
+        assert os.getpid() != driver
+        return descent(*a, **b)
+
+    monkeypatch.setattr(nbsvm, "dual_descent", elsewhere)
+    texts = {i: f"good words {i} here" if i % 2 else f"bad junk {i} !!!" for i in range(60)}
+    docs = spark.createDataFrame([(i, t) for i, t in texts.items()], "doc_id long, text string")
+    model = nbsvm.fit(docs, spark.createDataFrame([(i, i % 2) for i in texts], "doc_id long, quality int"))
+    got = {x.doc_id: x.score for x in nbsvm.score(docs, model).collect()}
+    assert all((s > 0.5) == bool(i % 2) for i, s in got.items())
