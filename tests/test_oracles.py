@@ -62,3 +62,9 @@ def test_end_to_end_and_full_features_use_all_passes(spark):
     assert {(r.source1_entity_id, r.source2_entity_id) for r in catalog.pair_features_v3_full(spark, SF).collect()} == every
     found = [x for r in catalog.er_end_to_end(spark, SF).collect() for x in r.matched_entity_ids.split(",") if x]
     assert any(int(x[1:]) % 11 == 0 for x in found)
+
+
+@pytest.mark.parametrize("name", ["candidates_all_passes", "candidates_all_passes_v1", "er_end_to_end"])
+def test_sides_are_normalised_once(spark, name):
+    """What several steps read is written before: the last plan normalises no text again."""
+    assert "_nfkc" not in catalog.QUERIES[name](spark, SF)._jdf.queryExecution().executedPlan().toString()
