@@ -418,3 +418,18 @@ def test_top_k_makes_no_pairs_of_copies(spark, monkeypatch):
             want.setdefault(x.a[1:], []).append((-round(x.cosine, 9), x.b[1:]))
     assert {k: sorted(v) for k, v in got.items()} == {k: sorted(v)[:4] for k, v in want.items()}
     assert tfidf.top_k(l.limit(0), q, 4).count() == 0 and tfidf.top_k(l, q.limit(0), 4).count() == 0
+
+
+def test_name_cosine_is_of_names(spark, monkeypatch):
+    """Vectors and products are made once for equal names; every pair of ids gets its cosine."""
+    made, postings = [], tfidf.postings
+    monkeypatch.setattr(tfidf, "postings", lambda names, m=None: (made.append(names.count()), postings(names, m))[1])
+    mk = lambda s, n: spark.createDataFrame([(f"{s}{i}", ["alpha beta", "alpha betas", "gamma"][i % 3]) for i in range(n)], "entity_id string, business_name_norm string")
+    l, r = mk("x", 6), mk("y", 9)
+    pair = l.select(F.col("entity_id").alias("source1_entity_id")).crossJoin(r.select(F.col("entity_id").alias("source2_entity_id"))).where("source2_entity_id <> 'y8'")
+    got = {(x[0], x[1]): x[2] for x in pairs.name_cosine(pair, l, r).collect()}
+    assert made == [3]
+    tag = lambda d, s: d.select(F.concat(F.lit(s), "entity_id").alias("id"), F.col("business_name_norm").alias("name"))
+    w = postings(tag(l, "1").unionByName(tag(r.where("entity_id <> 'y8'"), "2")))
+    want = tfidf.pair_cosine(pair.select(F.concat(F.lit("1"), "source1_entity_id").alias("a"), F.concat(F.lit("2"), "source2_entity_id").alias("b")), w)
+    assert got == {(x.a[1:], x.b[1:]): round(x.cosine, 9) for x in want.collect()} and len(got) == 48
