@@ -433,3 +433,25 @@ def test_name_cosine_is_of_names(spark, monkeypatch):
     w = postings(tag(l, "1").unionByName(tag(r.where("entity_id <> 'y8'"), "2")))
     want = tfidf.pair_cosine(pair.select(F.concat(F.lit("1"), "source1_entity_id").alias("a"), F.concat(F.lit("2"), "source2_entity_id").alias("b")), w)
     assert got == {(x.a[1:], x.b[1:]): round(x.cosine, 9) for x in want.collect()} and len(got) == 48
+
+
+def test_features_use_whole_texts(spark):
+    """Edit distances and common substrings count what comes after the first 500 and 200 characters."""
+    texts = {"x": "a" * 600 + "b" * 600, "y": "a" * 600 + "c" * 600, "p": "ab" * 300 + "q", "q": "c" * 300 + "ab" * 200}
+    mk = lambda ids: spark.createDataFrame([(i, texts[i], texts[i], "us") for i in ids], "entity_id string, business_name_norm string, business_address_norm string, country_norm string")
+    pair = spark.createDataFrame([("x", "y"), ("p", "q")], "source1_entity_id string, source2_entity_id string")
+    got = {r.source1_entity_id: r for r in pairs.features(pair, mk("xp"), mk("yq"), "v3").collect()}
+    assert got["x"].name_edit_sim == got["x"].addr_edit_sim == got["x"].name_sorted_edit_sim == got["x"].name_stripped_edit_sim == got["x"].name_expanded_edit_sim == 0.5
+    assert got["x"].name_lcs_ratio == got["x"].addr_lcs_ratio == 0.5 and got["p"].name_lcs_ratio == pytest.approx(400 / 700)
+    held = pairs.features(pair, mk("xp"), mk("yq"), "v3", substring=False, cosine=False, edit_chars=500).where("source1_entity_id = 'x'").first()
+    assert held.name_edit_sim == 1.0
+
+
+def test_longest_common_of_long_texts():
+    from millrace.functions import similarity as S
+
+    r = random.Random(3)
+    for _ in range(200):
+        a, b = ("".join(r.choice("abé") for _ in range(r.randint(1, 60))) for _ in range(2))
+        assert S._longest_common_of_long(a, b) == S._longest_common([a], [b])[0]
+    assert S._longest_common_of_long("a" * 50000, "b" + "a" * 40000) == 40000 and S._longest_common_of_long("a", "b") == 0
