@@ -455,3 +455,18 @@ def test_longest_common_of_long_texts():
         a, b = ("".join(r.choice("abé") for _ in range(r.randint(1, 60))) for _ in range(2))
         assert S._longest_common_of_long(a, b) == S._longest_common([a], [b])[0]
     assert S._longest_common_of_long("a" * 50000, "b" + "a" * 40000) == 40000 and S._longest_common_of_long("a", "b") == 0
+
+
+def test_candidates_without_cap_are_made_once(spark):
+    """Without a cap pairs are distinct without a shuffle of pairs, also over several sources; a repeated id brings the shuffle back."""
+    mk = lambda s, rows: spark.createDataFrame([(f"{s}{i}", *x) for i, x in enumerate(rows)], "entity_id string, business_name_norm string, business_address_norm string, country_norm string")
+    left = mk("l", [("acme foods", "12 main", "us"), ("acme  tools", "12 main", "us"), ("x", "7 road", "us"), ("", None, None), ("bolt co", "9 hill", None), (None, "12", "us")])
+    right = [mk("r", [("acme food", "12 main", "us"), (" acme tool", "3 main", "us"), ("bolt co", "12 x", "us"), ("x", "7", "us")]), mk("q", [("bolt co", "9 y", None), ("acme", "12", "us"), ("acme foods", None, "fr")])]
+    keys = [blocking.first_word_key(), blocking.numeric_key()]
+    want = {tuple(x) for x in blocking.keys_join(left, right, keys).collect()} | {tuple(x) for r in right for x in blocking.similar_names(left, r, 10).collect()}
+    got = blocking.candidates(left, right, "v1")
+    assert sorted(tuple(x) for x in got.collect()) == sorted(want) and len(want) > 8
+    assert "keys=[source1_entity_id" not in got._jdf.queryExecution().executedPlan().toString()
+    twice = blocking.candidates(left.unionByName(left.limit(1)), right, "v1")
+    assert sorted(tuple(x) for x in twice.where("source1_entity_id <> 'l0'").collect()) == sorted(x for x in want if x[0] != "l0")
+    assert twice.count() == twice.distinct().count()
