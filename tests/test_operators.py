@@ -470,3 +470,18 @@ def test_candidates_without_cap_are_made_once(spark):
     twice = blocking.candidates(left.unionByName(left.limit(1)), right, "v1")
     assert sorted(tuple(x) for x in twice.where("source1_entity_id <> 'l0'").collect()) == sorted(x for x in want if x[0] != "l0")
     assert twice.count() == twice.distinct().count()
+
+
+def test_features_by_text_are_the_same(spark, monkeypatch):
+    """The same rows as with derived columns joined to each pair, also for unknown and repeated ids; one measure for equal texts."""
+    r = random.Random(5)
+    word = lambda: r.choice(["acme", "foods", "ltd", "intl", "12", "main", "75001", "po box 7", "x"])
+    mk = lambda s, n: spark.createDataFrame([(f"{s}{i % (n - 2)}", *(r.choice([None, " ".join(word() for _ in range(r.randint(0, 3)))]) for _ in range(2)), r.choice([None, "us", ""])) for i in range(n)], "entity_id string, business_name_norm string, business_address_norm string, country_norm string")
+    left, right = mk("l", 8), mk("r", 12)
+    pair = spark.createDataFrame([(f"l{i}", f"r{j}") for i in range(7) for j in range(11)], "source1_entity_id string, source2_entity_id string")
+    for options in ({}, {"substring": False, "cosine": False}):
+        want, got = pairs.features(pair, left, right, "v3", **options), pairs.features_by_text(pair, left, right, "v3", **options)
+        flat = lambda d: sorted(tuple(round(v, 8) if isinstance(v, float) else v for v in x) for x in d.select(*got.columns).collect())
+        assert set(want.columns) == set(got.columns) and flat(want) == flat(got) and want.count() > 77
+    plan = got._jdf.queryExecution().optimizedPlan().toString()
+    assert "Aggregate [n1" in plan and "Aggregate [a1" in plan
